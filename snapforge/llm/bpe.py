@@ -32,7 +32,7 @@ from . import common
 #: Words of at most so many symbols are merged whole.
 WINDOW = 64
 #: Pieces, words and pairs that a worker remembers.
-CACHE = 300_000
+CACHE = 150_000
 #: Below this code point all Unicode versions in use agree on case, letters, digits and white space.
 AGREED = 0x530
 
@@ -275,6 +275,12 @@ def tables(path: str) -> Tables:
     return Tables(path)
 
 
+@lru_cache(maxsize=2)
+def worker_coder(path: str) -> PieceCoder:
+    """One coder a Python worker, so that what it remembers outlives a task."""
+    return PieceCoder(path)
+
+
 class PieceCoder:
     """What a text's digest needs, remembered for each piece between ASCII white space."""
 
@@ -325,7 +331,7 @@ def digest_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every document; a map without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(tokenizer_path)
+        coder = worker_coder(tokenizer_path)
         for batch in batches:
             if batch.num_rows:
                 n, a, b = zip(*map(coder.digest, batch.column(1).to_pylist()), strict=True)
