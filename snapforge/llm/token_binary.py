@@ -3,7 +3,7 @@
 A shard is one Arrow IPC stream with the schema
 
     input_ids  fixed_size_list<uint16 or uint32>[sequence_length]
-    mask       fixed_size_list<uint8>[sequence_length]      1: a token, 0: padding
+    mask       fixed_size_list<uint8>[sequence_length / 8]  a bit each, lowest first; 1: a token, 0: padding
 
 The documents of a shard stand in ascending order of doc_id, each closed by the end id, and run on across sequences; only
 a shard's last sequence is padded. All buffers are uncompressed and of equal length a row, so a memory-mapped
@@ -33,7 +33,7 @@ SEQUENCE_LENGTH = 1024
 #: Sequences in one record batch.
 BATCH_SEQUENCES = 256
 #: Distinct pieces between white space whose ids a worker remembers.
-CACHE = 400_000
+CACHE = 1_200_000
 MANIFEST = "shard int, path string, n_tokens long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -48,6 +48,12 @@ def load_tokenizer(path: str):
     return made
 
 
+@lru_cache(maxsize=2)
+def worker_encoder(path: str) -> LibraryEncoder:
+    """One encoder a Python worker, so that what it remembers outlives a task."""
+    return LibraryEncoder(path)
+
+
 class LibraryEncoder:
     """Whole texts to ids with the tokenizers library, remembering the ids of the pieces between ASCII white space.
 
@@ -60,30 +66,58 @@ class LibraryEncoder:
 
         self.tokenizer = load_tokenizer(path)
         with open(path, encoding="utf-8") as f:
-            pre = json.load(f).get("pre_tokenizer") or {}
+            told = json.load(f)
+        pre = told.get("pre_tokenizer") or {}
+        self.lowers = '"Lowercase"' in json.dumps(told.get("normalizer"))
         kinds = pre.get("pretokenizers", [pre])
         self.by_piece = any(k.get("type") == "Split" and k.get("behavior") == "Removed" and k.get("invert") for k in kinds)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        #: Packed ids of whole pieces, and of pieces without case and closing punctuation.
+        self.known, self.cores = Known(self._of_piece), Known(self._of_core)
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.asarray(ids, self.width).tobytes()
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text."""
+    def _of_core(self, core: bytes) -> bytes:
+        return self._pack(self.tokenizer.encode_batch_fast([core.decode("utf-8", "surrogatepass")], add_special_tokens=False)[0].ids)
+
+    def _of_piece(self, piece: bytes) -> bytes:
+        """A piece's ids from those of its core and its tail.
+
+        Case plays no part in ASCII where the tokenizer lower-cases, and ASCII punctuation after a letter is a word of its own; an
+        apostrophe may start a word with letters, and a bracket may belong to an added token.
+        """
+        if piece.isalpha():  # of bytes: ASCII letters
+            return self.cores[piece.lower() if self.lowers else piece]
+        if b"<" in piece or b">" in piece:
+            return self.cores[piece]
+        core = piece.rstrip(b".,;:!?*%$&#|")
+        if not core or not 97 <= core[-1] | 32 <= 122:
+            core = piece
+        tail = piece[len(core) :]
+        if self.lowers and core.isascii():
+            core = core.lower()
+        return self.cores[core] + self.cores[tail] if tail else self.cores[core]
+
+    def encode_batch(self, texts: list[bytes]) -> list[bytes]:
+        """The packed ids of each UTF-8 text."""
         if not self.by_piece:
-            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        known = self.known
-        missing = list({p for pieces in split for p in pieces if p not in known})
-        if len(known) + len(missing) > CACHE:
-            known.clear()
-            missing = list({p for pieces in split for p in pieces})
-        for at in range(0, len(missing), 50_000):
-            part = missing[at : at + 50_000]
-            made = self.tokenizer.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in part], add_special_tokens=False)
-            known.update(zip(part, (self._pack(e.ids) for e in made), strict=True))
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False)]
+        of = self.known.__getitem__
+        return [b"".join(map(of, t.split())) for t in texts]
+
+
+class Known(dict):
+    """What make gives for each key, remembered for up to CACHE keys."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key: bytes) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        made = self[key] = self.make(key)
+        return made
 
 
 class ShardWriter:
@@ -92,9 +126,11 @@ class ShardWriter:
     def __init__(self, base: str, width: np.dtype, sequence_length: int):
         self.fs, self.path = common.open_fs(base)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
+        if sequence_length % 8:
+            raise ValueError("sequence_length must be a multiple of 8")
         self.length, self.width, self.pending, self.held, self.total, self.docs = sequence_length, width, [], 0, 0, 0
         kind = pa.from_numpy_dtype(width)
-        self.schema = pa.schema([("input_ids", pa.list_(pa.field("item", kind, False), sequence_length)), ("mask", pa.list_(pa.field("item", pa.uint8(), False), sequence_length))])
+        self.schema = pa.schema([("input_ids", pa.list_(pa.field("item", kind, False), sequence_length)), ("mask", pa.list_(pa.field("item", pa.uint8(), False), sequence_length // 8))])
         self.sink = self.fs.open_output_stream(self.path, compression=None)
         self.stream = pa.ipc.new_stream(self.sink, self.schema)
         self.index_sink = self.fs.open_output_stream(f"{self.path}.index", compression=None)
@@ -122,7 +158,8 @@ class ShardWriter:
             mask[-pad:] = 0
         step = self.length * BATCH_SEQUENCES
         for at in range(0, len(body), step):
-            columns = [pa.FixedSizeListArray.from_arrays(pa.array(x[at : at + step]), type=f.type) for x, f in zip((body, mask), self.schema, strict=True)]
+            parts = body[at : at + step], np.packbits(mask[at : at + step], bitorder="little")
+            columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip(parts, self.schema, strict=True)]
             self.stream.write_batch(pa.record_batch(columns, schema=self.schema))
         self.pending, self.held = [rest.tobytes()] if len(rest) else [], len(rest)
 
@@ -143,14 +180,14 @@ class ShardReader:
         self.index = pa.ipc.open_stream(filesystem.open_input_stream(f"{path}.index"))
 
     def sequences(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, mask) of each record batch as 2-d views of the file's own bytes."""
+        """(ids, packed mask) of each record batch as 2-d views of the file's own bytes."""
         for batch in self.stream:
             n = batch.num_rows
             yield tuple(batch.column(i).flatten().to_numpy(zero_copy_only=True).reshape(n, -1) for i in (0, 1))
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(doc_id, start, ids) of each document, holding one batch and the document at hand."""
-        batches = (ids[mask.astype(bool)] for ids, mask in self.sequences())
+        batches = (ids.reshape(-1)[: int(np.bitwise_count(mask).sum())] for ids, mask in self.sequences())  # only a tail is padding
         held = np.empty(0, np.uint16)
         for rows in self.index:
             for doc, start, n in zip(*(c.to_pylist() for c in rows.columns), strict=True):
@@ -165,7 +202,7 @@ class ShardReader:
 
 
 class Sequences:
-    """Random access to a mapped shard: sequence(i) is (ids, mask) without a copy."""
+    """Random access to a mapped shard: sequence(i) is (ids, packed mask) without a copy."""
 
     def __init__(self, base: str):
         self.parts = list(ShardReader(base).sequences())
@@ -188,13 +225,13 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
     a row a shard; it is all that the driver sees.
     """
     spark = docs.sparkSession
-    part = common.id_text(docs)
+    part = common.id_text(docs).withColumn(common.TEXT, F.col(common.TEXT).cast("binary"))
     ordered = part.repartitionByRange(shards or int(spark.conf.get("spark.sql.shuffle.partitions")), common.ID).sortWithinPartitions(common.ID, common.TEXT)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, writer = LibraryEncoder(tokenizer_path), None
+        encoder, writer = worker_encoder(tokenizer_path), None
         end = np.asarray([end_id], encoder.width).tobytes()
         shard = TaskContext.get().partitionId()
         path = f"{out_dir}/part-{shard:06d}-{uuid.uuid4().hex}.arrows"
@@ -203,7 +240,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
                 writer = writer or ShardWriter(path, encoder.width, sequence_length)
                 for at in range(0, batch.num_rows, 512):
                     rows = batch.slice(at, 512)
-                    writer.add(rows.column(0).to_pylist(), [x + end for x in encoder.encode_batch([t or "" for t in rows.column(1).to_pylist()])])
+                    writer.add(rows.column(0).to_pylist(), [x + end for x in encoder.encode_batch([t or b"" for t in rows.column(1).to_pylist()])])
         if writer:
             writer.close()
             yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([path]), pa.array([writer.total]), pa.array([writer.docs])], names=["shard", "path", "n_tokens", "n_docs"])
