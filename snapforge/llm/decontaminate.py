@@ -62,10 +62,14 @@ def _short(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("whole", F.slice("whole", 1, F.greatest(n - (size - 1), F.lit(0)))).drop("h")
 
 
-def _spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """A row a window: keys, pos, fp, whole."""
+def _spread(rows: DataFrame, *keys: str, lead: bool = False) -> DataFrame:
+    """A row a window: keys, pos, fp, whole; with lead, also one of nulls for each row."""
     pairs = F.zip_with("fp", "whole", lambda a, b: F.struct(a.alias("fp"), b.alias("whole")))
-    return rows.select(*keys, F.posexplode(pairs).alias("pos", "w")).select(*keys, "pos", "w.fp", "w.whole")
+    if not lead:
+        return rows.select(*keys, F.posexplode(pairs).alias("pos", "w")).select(*keys, "pos", "w.fp", "w.whole")
+    none = F.lit(None).cast("struct<fp:bigint,whole:bigint>")
+    spread = rows.select(*keys, F.posexplode(F.concat(F.array(none), pairs)).alias("at", "w"))
+    return spread.select(*keys, F.when(F.col("at") > 0, F.col("at") - 1).alias("pos"), "w.fp", "w.whole")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -73,8 +77,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return common.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(-1)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), "text")
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """key, digest, starts (array of pos, size), items (sorted array of item_id as string) of each contaminated document."""
+def _matches(docs: DataFrame, benchmark: DataFrame, every: bool, broadcast_windows: int) -> DataFrame:
+    """doc_id, key, digest, n, pos, size, items: a row a hit; with every, also one with null pos and items for each row of docs."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), _words(F.col("text").cast("string")).alias("words")).where("item is not null and size(words) > 0")
     items = common.stage(_hashed(items), "items")
     short_sizes = sorted(r[0] for r in items.where(F.col("n") < WINDOW).select("n").distinct().collect())  # at most 9
@@ -83,17 +87,25 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BR
     small = long.count() <= broadcast_windows
     hinted = F.broadcast if small else (lambda x: x)
 
-    hashed = _hashed(_keyed(docs).select("key", "digest", _words(F.col("text")).alias("words")))
-    windows = _windows(hashed.where(F.col("n") >= WINDOW))
-    if not small:
+    names = ["doc_id", "key", "digest", "n"]
+    hashed = _hashed(_keyed(docs).select("doc_id", "key", "digest", _words(F.col("text")).alias("words")))
+    found = [*names, "pos", F.lit(WINDOW).alias("size"), "items"]
+    if small and every:  # one pass: an entry that matches nothing stands before each document's windows
+        hits = _spread(_windows(hashed), *names, lead=True).join(hinted(long), ["fp", "whole"], "left").where("items is not null or pos is null").select(*found)
+    elif small:
+        hits = _spread(_windows(hashed.where(F.col("n") >= WINDOW)), *names).join(hinted(long), ["fp", "whole"]).select(*found)
+    else:
+        windows = _windows(hashed.where(F.col("n") >= WINDOW))
         held = windows.select("key", "digest", F.explode(F.array_distinct("fp")).alias("fp")).join(long.select("fp").distinct(), "fp", "left_semi")
         windows = windows.join(held.select("key", "digest").distinct(), ["key", "digest"], "left_semi")
-    hits = _spread(windows, "key", "digest").join(hinted(long), ["fp", "whole"]).select("key", "digest", "pos", F.lit(WINDOW).alias("size"), "items")
+        hits = _spread(windows, *names).join(long, ["fp", "whole"]).select(*found)
+        if every:
+            hits = hits.unionByName(hashed.select(*names, F.lit(None).cast("int").alias("pos"), F.lit(WINDOW).alias("size"), F.lit(None).cast("array<string>").alias("items")))
     for size in short_sizes:
         known = _short(items.where(F.col("n") == size), size).select("item", F.explode("whole").alias("whole")).groupBy("whole").agg(F.collect_set("item").alias("items"))
-        spread = _short(hashed.where(F.col("n") >= size), size).select("key", "digest", F.posexplode("whole").alias("pos", "whole"))
-        hits = hits.unionByName(spread.join(hinted(known), "whole").select("key", "digest", "pos", F.lit(size).alias("size"), "items"))
-    return hits.groupBy("key", "digest").agg(F.sort_array(F.collect_set(F.struct("pos", "size"))).alias("starts"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        spread = _short(hashed.where(F.col("n") >= size), size).select(*names, F.posexplode("whole").alias("pos", "whole"))
+        hits = hits.unionByName(spread.join(hinted(known), "whole").select(*names, "pos", F.lit(size).alias("size"), "items"))
+    return hits
 
 
 def _covered(starts: Column) -> Column:
@@ -109,16 +121,20 @@ def _covered(starts: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row."""
-    found = find_hits(docs, benchmark, broadcast_windows).select("key", "digest", _covered(F.col("starts")).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-    count = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"))
-    rows = _keyed(docs).select("doc_id", "key", "digest", count.cast("long").alias("n_words")).join(found, ["key", "digest"], "left")
-    zero = F.lit(0).cast("long")
-    return rows.select("doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
+    hits = _matches(docs, benchmark, True, broadcast_windows)
+    real = F.col("pos").isNotNull()
+    each = hits.groupBy("doc_id", "digest", "n").agg(
+        F.sum(F.when(real, 0).otherwise(1)).alias("rows"),
+        F.sort_array(F.collect_set(F.when(real, F.struct("pos", "size")))).alias("starts"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    )
+    each = each.select("doc_id", F.col("n").cast("long").alias("n_words"), _covered(F.col("starts")).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("starts") > 0).alias("contaminated"), "rows")
+    return each.select(*each.columns[:-1], F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy")).drop("copy")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows whose text holds a benchmark window; all its columns stay."""
-    hits = find_hits(docs, benchmark).select(F.col("key").alias("__key"), F.col("digest").alias("__digest"))
+    hits = _matches(docs, benchmark, False, BROADCAST_WINDOWS).select(F.col("key").alias("__key"), F.col("digest").alias("__digest")).distinct()
     same = (F.coalesce(docs[common.ID].cast("long"), F.lit(-1)) == hits["__key"]) & (F.xxhash64(F.coalesce(docs[common.TEXT], F.lit(""))) == hits["__digest"])
     return docs.join(hits, same, "left_anti")
 
