@@ -5,9 +5,10 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .decontaminate import OP9_SQL, op9_decontaminate
 from .licenses import op10_licenses
+from .quality import op6_quality
 from .secrets_scan import op7_secrets
 from .simhash import op2_simhash
 from .token_binary import op1_token_binary
 
-QUERIES = {f.__name__: f for f in (op1_token_binary, op2_simhash, op3_bpe, op7_secrets, op9_decontaminate, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_token_binary, op2_simhash, op3_bpe, op6_quality, op7_secrets, op9_decontaminate, op10_licenses)}
 ORACLE_SQL: dict[str, str] = {"op9_decontaminate": OP9_SQL}
