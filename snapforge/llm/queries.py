@@ -8,7 +8,8 @@ from .licenses import op10_licenses
 from .quality import op6_quality
 from .secrets_scan import op7_secrets
 from .simhash import op2_simhash
+from .toxicity import op5_toxicity
 from .token_binary import op1_token_binary
 
-QUERIES = {f.__name__: f for f in (op1_token_binary, op2_simhash, op3_bpe, op6_quality, op7_secrets, op9_decontaminate, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_token_binary, op2_simhash, op3_bpe, op5_toxicity, op6_quality, op7_secrets, op9_decontaminate, op10_licenses)}
 ORACLE_SQL: dict[str, str] = {"op9_decontaminate": OP9_SQL}
