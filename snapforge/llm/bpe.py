@@ -26,13 +26,17 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import common
+from .token_binary import Known
 
 #: Words of at most so many symbols are merged whole.
 WINDOW = 64
-#: Pieces, words and pairs that a worker remembers.
-CACHE = 150_000
+#: Words and pairs that an encoder remembers.
+CACHE = 100_000
+#: Pieces between white space that a worker remembers.
+PIECES = 500_000
 #: Below this code point all Unicode versions in use agree on case, letters, digits and white space.
 AGREED = 0x530
 
@@ -104,20 +108,16 @@ class Encoder:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The merge rules over a short list of symbols, best rank first, leftmost on ties."""
-        ranks = self.t.ranks
-        while len(symbols) > 1:
-            best = min(zip(symbols, symbols[1:]), key=lambda p: ranks.get(p, 1 << 60))
-            if best not in ranks:
-                break
-            out, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best:
-                    out.append(best[0] + best[1])
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
+        rank, never = self.t.ranks.get, 1 << 60
+        ranks = [rank(p, never) for p in zip(symbols, symbols[1:])]
+        while ranks and (best := min(ranks)) != never:
+            i = ranks.index(best)
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), never)
+            if i < len(ranks):
+                ranks[i] = rank((symbols[i], symbols[i + 1]), never)
         return symbols
 
     def _split(self, token: str) -> list[str]:
@@ -285,25 +285,40 @@ class PieceCoder:
     """What a text's digest needs, remembered for each piece between ASCII white space."""
 
     def __init__(self, path: str):
-        self.encoder, self.decoder, self.known = Encoder(path), Decoder(path), {}
-
-    def learn(self, piece: bytes) -> tuple[bytes, bytes, int]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        ids = self.encoder.encode(piece.decode("utf-8", "surrogatepass"))
-        made = self.known[piece] = (" ".join(map(str, ids)).encode(), self.decoder.decode(ids).encode(), len(ids))
-        return made
-
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """n_tokens, sha256 of the decimal ids joined by a space, sha256 of the decoded text."""
-        if not self.encoder.t.drops_space or self.decoder.t.decoder is not None:
-            ids = self.encoder.encode(text or "")
+        self.encoder, self.decoder = Encoder(path), Decoder(path)
+        t = self.encoder.t
+        self.by_piece = t.drops_space and t.decoder is None
+        self.lowers = any(step["type"] == "Lowercase" for step in t.normal)
+        self.known, self.cores = Known(self._of_piece, PIECES), Known(self._of_core, PIECES)
+
+    def _of_core(self, core: bytes) -> tuple[bytes, bytes, int]:
+        ids = self.encoder.encode(core.decode("utf-8", "surrogatepass"))
+        return " ".join(map(str, ids)).encode(), self.decoder.decode(ids).encode(), len(ids)
+
+    def _of_piece(self, piece: bytes) -> tuple[bytes, bytes, int]:
+        """ASCII case plays no part, and ASCII punctuation after a letter is a word of its own (see token_binary)."""
+        if piece.isalpha():  # of bytes: ASCII letters
+            return self.cores[piece.lower() if self.lowers else piece]
+        core = piece.rstrip(b".,;:!?*%$&#|")
+        if b"<" in piece or b">" in piece or not core or not 97 <= core[-1] | 32 <= 122:
+            core = piece
+        tail = piece[len(core) :]
+        if self.lowers and b"<" not in core and core.isascii():
+            core = core.lower()
+        if not tail:
+            return self.cores[core]
+        (a, b, m), (c, d, n) = self.cores[core], self.cores[tail]
+        return a + b" " + c, b + b" " + d, m + n
+
+    def digest(self, text: bytes | None) -> tuple[int, str, str]:
+        """n_tokens, sha256 of the decimal ids joined by a space, sha256 of the decoded text, of a UTF-8 text."""
+        if not self.by_piece:
+            ids = self.encoder.encode((text or b"").decode("utf-8", "surrogatepass"))
             return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(self.decoder.decode(ids).encode()).hexdigest()
         n, ids_sha, text_sha, first = 0, hashlib.sha256(), hashlib.sha256(), True
-        pieces, known, learn = (text or "").encode("utf-8", "surrogatepass").split(), self.known, self.learn
+        pieces, of = (text or b"").split(), self.known.__getitem__
         for at in range(0, len(pieces), 4096):
-            made = [known.get(p) or learn(p) for p in pieces[at : at + 4096]]
-            made = [m for m in made if m[2]]
+            made = [m for m in map(of, pieces[at : at + 4096]) if m[2]]
             if made:
                 a, b, c = zip(*made, strict=True)
                 gap = b"" if first else b" "
@@ -337,7 +352,8 @@ def digest_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 n, a, b = zip(*map(coder.digest, batch.column(1).to_pylist()), strict=True)
                 yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return common.id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    raw = common.id_text(docs).withColumn(common.TEXT, F.col(common.TEXT).cast("binary"))
+    return raw.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe(spark, sf_dir: str) -> DataFrame:

@@ -108,13 +108,13 @@ class LibraryEncoder:
 
 
 class Known(dict):
-    """What make gives for each key, remembered for up to CACHE keys."""
+    """What make gives for each key, remembered for up to most keys."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, most: int = CACHE):
+        self.make, self.most = make, most
 
-    def __missing__(self, key: bytes) -> bytes:
-        if len(self) >= CACHE:
+    def __missing__(self, key: bytes):
+        if len(self) >= self.most:
             self.clear()
         made = self[key] = self.make(key)
         return made
