@@ -21,9 +21,11 @@ import codecs
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +68,9 @@ class Tables:
         self.added_split = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         steps = told.get("normalizer") or {}
         self.normal = [s for s in steps.get("normalizers", [steps]) if s]
+        self.steps = [(x["type"], regex.compile(x["pattern"]["Regex"]) if x["type"] == "Replace" else None, x.get("content")) for x in self.normal]
+        if unknown := {x[0] for x in self.steps} - {"NFC", "Lowercase", "Replace"}:
+            raise ValueError(f"normalisation steps not supported: {sorted(unknown)}")
         pre = told.get("pre_tokenizer") or {}
         parts = pre.get("pretokenizers", [pre])
         own = [s["pattern"]["Regex"] for s in parts if s.get("type") == "Split"]
@@ -101,7 +106,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.t = tables(path)
-        self.symbols = byte_symbols()
+        self.symbols = dict(enumerate(byte_symbols()))
         self.word_ids: dict[str, tuple[int, ...]] = {}
         self.pair_ok: dict[tuple[str, str], bool] = {}
         self.library = None
@@ -207,22 +212,15 @@ class Encoder:
             self.library = self.library or load_tokenizer(self.t.path)
             yield from (w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(plain)))
             return
-        for step in self.t.normal:
-            if step["type"] == "NFC":
+        for kind, pattern, content in self.t.steps:
+            if kind == "NFC":
                 plain = unicodedata.normalize("NFC", plain)
-            elif step["type"] == "Lowercase":
-                plain = plain.lower() if plain.isascii() else "".join(c.lower() for c in plain)
-            elif step["type"] == "Replace":
-                import regex
-
-                plain = regex.sub(step["pattern"]["Regex"], step["content"], plain)
-        table = self.symbols
+            elif kind == "Lowercase":  # letter by letter: a final sigma stays like any other
+                plain = plain.lower() if "\u03a3" not in plain else "".join(c.lower() for c in plain)
+            else:
+                plain = pattern.sub(content, plain)
         for w in self.t.words.findall(plain):
-            yield w if w.isascii() and not self._escaped(w) else "".join(table[b] for b in w.encode())
-
-    @staticmethod
-    def _escaped(word: str) -> bool:
-        return any(not 33 <= ord(c) < 127 for c in word)
+            yield w if w.isascii() and w.isprintable() and " " not in w else w.encode().decode("latin-1").translate(self.symbols)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text or a piece of one."""
@@ -328,18 +326,42 @@ class PieceCoder:
         return n, ids_sha.hexdigest(), text_sha.hexdigest()
 
 
+@lru_cache(maxsize=2)
+def worker_pieces(path: str) -> Known:
+    """Ids of pieces and their decoded text, remembered by a worker; of tokenizers that drop white space."""
+    encoder, decoder = Encoder(path), Decoder(path)
+
+    def learn(piece: bytes) -> tuple[array, str]:
+        ids = encoder.encode(piece.decode("utf-8", "surrogatepass"))
+        return array("i", ids), decoder.decode(ids)
+
+    return Known(learn, PIECES)
+
+
 def encode_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id, ids (array of int), decoded: the real outputs for every document."""
+    """doc_id, n_tokens, ids (array of int), decoded: the real outputs for every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(tokenizer_path), Decoder(tokenizer_path)
+        by_piece = encoder.t.drops_space and decoder.t.decoder is None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                ids = [encoder.encode(t or "") for t in rows.column(1).to_pylist()]
-                yield pa.record_batch([rows.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([decoder.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+                texts = [t or b"" for t in rows.column(1).to_pylist()]
+                if by_piece:
+                    of = worker_pieces(tokenizer_path).__getitem__
+                    each = [[m for m in map(of, t.split()) if m[1]] for t in texts]
+                    flat = [np.frombuffer(b"".join(m[0].tobytes() for m in e), np.int32) for e in each]
+                    decoded = [" ".join([m[1] for m in e]) for e in each]
+                else:
+                    plain = [encoder.encode(t.decode("utf-8", "surrogatepass")) for t in texts]
+                    flat, decoded = [np.array(x, np.int32) for x in plain], [decoder.decode(x) for x in plain]
+                ends = np.cumsum([0, *map(len, flat)])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *flat])))
+                yield pa.record_batch([rows.column(0), pa.array(np.diff(ends)), ids, pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
-    return common.id_text(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    raw = common.id_text(docs).withColumn(common.TEXT, F.col(common.TEXT).cast("binary"))
+    return raw.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def digest_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
