@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -222,8 +223,6 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows scored 0.5 or more; all columns stay."""
-    import pandas as pd
-
     sent = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
 
     @F.pandas_udf("boolean")
