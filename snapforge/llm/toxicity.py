@@ -67,8 +67,10 @@ class Letters:
                 padded = "^" * (ORDER - 1) + w + "$"
                 for i in range(len(w) + 1):
                     grams[padded[i : i + ORDER]] += n
-            self.top.append((grams, *self._contexts(grams), discount(grams)))
-        below, self.shared = {g for grams, *_ in self.top for g in grams}, []
+            d, (total, kinds) = discount(grams), self._contexts(grams)
+            seen = {g: max(n - d, 0) / total[g[:-1]] for g, n in grams.items()}
+            self.top.append((seen, {h: d * kinds[h] / n for h, n in total.items()}))  # own share of a gram, share left to the backoff of a context
+        below, self.shared = {g for seen, _ in self.top for g in seen}, []
         for _ in range(ORDER - 1):  # continuation counts: in how many different left contexts a gram stands
             grams = Counter(g[1:] for g in below)
             self.shared.append((grams, *self._contexts(grams), discount(grams)))
@@ -96,17 +98,19 @@ class Letters:
                 self.known[gram] = p
         return p
 
-    def word(self, w: str) -> tuple[float, float]:
-        """log-probability of a word under each class."""
-        out = [0.0, 0.0]
+    def word(self, w: str) -> float:
+        """log P(w | first class) - log P(w | second class)."""
+        (own0, left0), (own1, left1) = self.top
+        known, total, ratio = self.known, 0.0, 1.0
         padded = "^" * (ORDER - 1) + w + "$"
         for i in range(len(w) + 1):
             g = padded[i : i + ORDER]
-            rest = self.below(g[1:])
-            for k, (grams, total, kinds, d) in enumerate(self.top):
-                n = total.get(g[:-1], 0)
-                out[k] += math.log((max(grams.get(g, 0) - d, 0) + d * kinds[g[:-1]] * rest) / n if n else rest)
-        return out[0], out[1]
+            h, low = g[:-1], g[1:]
+            rest = known.get(low) or self.below(low)
+            ratio *= (own0.get(g, 0.0) + left0.get(h, 1.0) * rest) / (own1.get(g, 0.0) + left1.get(h, 1.0) * rest)
+            if not 1e-200 < ratio < 1e200:
+                total, ratio = total + math.log(max(ratio, 1e-300)), 1.0
+        return total + math.log(ratio)
 
 
 class Model:
@@ -117,7 +121,7 @@ class Model:
         pairs = [{p for t in texts for p in pairwise(["", *words_of(t)])} for texts in (toxic, ordinary)]
         self.counts = [Counter(w for _, w in p) for p in pairs]
         self.totals = [max(1, sum(c.values())) for c in self.counts]
-        self.passed = [sum(min(n, RARE) for n in c.values()) / t if c else 1.0 for c, t in zip(self.counts, self.totals, strict=True)]
+        self.passed = [sum(min(n, RARE) for n in c.values()) / t or 1.0 for c, t in zip(self.counts, self.totals, strict=True)]
         self.letters = Letters(self.counts)
         self.weights: list[float] | None = None
 
@@ -126,9 +130,10 @@ class Model:
         counts = [c.get(word, 0) for c in self.counts]
         if sum(counts) > RARE:  # one shared pseudo-context keeps a class that never says it from having no probability
             each = [math.log((n + 1) / (t + 1)) for n, t in zip(counts, self.totals, strict=True)]
+            e = each[0] - each[1]
         else:
-            each = [math.log(p) + lp for p, lp in zip(self.passed, self.letters.word(word), strict=True)]
-        e = max(-MOST, min(MOST, each[0] - each[1]))
+            e = math.log(self.passed[0] / self.passed[1]) + self.letters.word(word)
+        e = max(-MOST, min(MOST, e))
         return complex(e, 0) if sum(counts) > RARE else complex(0, e)
 
     def features(self, text: str | None, of) -> list[float]:
