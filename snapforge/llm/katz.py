@@ -27,6 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -39,7 +40,9 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Tokens of a block, and the mean number of tokens whose pairs meet in a bucket.
-BLOCK_TOKENS, BUCKET_TOKENS = 2_000_000, 4_000_000
+BLOCK_TOKENS, BUCKET_TOKENS = 1_500_000, 4_000_000
+#: A history with fewer tokens is never spread.
+HOT_LEAST = 1000
 #: Counts up to K are discounted.
 K = 5
 HELD_OUT = (7, 2)
@@ -129,6 +132,14 @@ def blocks(docs: DataFrame) -> DataFrame:
     return raw.mapInArrow(run, BLOCK)
 
 
+def bucketed(packed: DataFrame) -> DataFrame:
+    """The blocks as a table in the shared folder, bucketed by block: joins on block leave it where it is."""
+    spark, name = packed.sparkSession, f"snapforge_blocks_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed.write.option("path", common.scratch(spark, "blocks")).bucketBy(n, "block").sortBy("block").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def local_words(raw: bytes) -> list[bytes]:
     return pa.decompress(raw[:-8], int.from_bytes(raw[-8:], "little"), codec="zstd", asbytes=True).split(b" ")
 
@@ -237,7 +248,10 @@ def answer_pairs(pieces: DataFrame) -> DataFrame:
         word = np.concatenate([x[5][x[7]] for x in asked])
         count_w = np.concatenate([x[6][x[7]] for x in asked])
         counts = np.concatenate([x[8] for x in asked])
-        _, first, where = np.unique(hist * MIX ^ (word + (word << np.uint64(7))), return_index=True, return_inverse=True)
+        key = hist * MIX ^ (word + (word << np.uint64(7)))
+        del word
+        _, first, where = np.unique(key, return_index=True, return_inverse=True)
+        del key
         totals = np.bincount(where, counts).astype(np.int64)
         seen = np.flatnonzero(totals > 0)
         own, at = np.unique(hist, return_inverse=True)
@@ -326,7 +340,7 @@ def score_blocks(joined: DataFrame, model: Backoff, buckets: int, word_buckets:
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    packed = common.stage(blocks(docs), "blocks")
+    packed = bucketed(blocks(docs))
     n_blocks = packed.count()
     if not n_blocks:
         return spark.createDataFrame([], RESULT)
@@ -336,7 +350,7 @@ def score(docs: DataFrame) -> DataFrame:
     for row in words.where("kind = 1").select("data").toLocalIterator():  # one a bucket
         a, b, c = unpack_wide(row["data"])[0].tolist()
         tokens, known, once = tokens + a, known + b, once + c
-    hot_from = max(1000.0, tokens / (4 * buckets))
+    hot_from = max(HOT_LEAST, tokens / (4 * buckets))
     with_words = packed.join(answers(words, "word_totals"), "block")
     pairs = common.stage(answer_pairs(ask_pairs(with_words, buckets, buckets, hot_from)), "pairs")
     counts_of_counts, hot = np.zeros(K + 1, np.int64), {}
