@@ -273,10 +273,9 @@ def tables(path: str) -> Tables:
     return Tables(path)
 
 
-@lru_cache(maxsize=2)
 def worker_coder(path: str) -> PieceCoder:
     """One coder a Python worker, so that what it remembers outlives a task."""
-    return PieceCoder(path)
+    return common.held_by_worker(("piece coder", path), lambda: PieceCoder(path))
 
 
 class PieceCoder:
@@ -326,16 +325,19 @@ class PieceCoder:
         return n, ids_sha.hexdigest(), text_sha.hexdigest()
 
 
-@lru_cache(maxsize=2)
 def worker_pieces(path: str) -> Known:
-    """Ids of pieces and their decoded text, remembered by a worker; of tokenizers that drop white space."""
-    encoder, decoder = Encoder(path), Decoder(path)
+    """Packed ids of pieces and their decoded text, remembered by a worker; of tokenizers that drop white space."""
 
-    def learn(piece: bytes) -> tuple[array, str]:
-        ids = encoder.encode(piece.decode("utf-8", "surrogatepass"))
-        return array("i", ids), decoder.decode(ids)
+    def made() -> Known:
+        encoder, decoder = Encoder(path), Decoder(path)
 
-    return Known(learn, PIECES)
+        def learn(piece: bytes) -> tuple[bytes, str]:
+            ids = encoder.encode(piece.decode("utf-8", "surrogatepass"))
+            return array("i", ids).tobytes(), decoder.decode(ids)
+
+        return Known(learn, PIECES // 2)
+
+    return common.held_by_worker(("pieces", path), made)
 
 
 def encode_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -351,7 +353,7 @@ def encode_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 if by_piece:
                     of = worker_pieces(tokenizer_path).__getitem__
                     each = [[m for m in map(of, t.split()) if m[1]] for t in texts]
-                    flat = [np.frombuffer(b"".join(m[0].tobytes() for m in e), np.int32) for e in each]
+                    flat = [np.frombuffer(b"".join([m[0] for m in e]), np.int32) for e in each]
                     decoded = [" ".join([m[1] for m in e]) for e in each]
                 else:
                     plain = [encoder.encode(t.decode("utf-8", "surrogatepass")) for t in texts]

@@ -69,3 +69,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lower_ascii(text: str | None) -> bytes:
     """UTF-8 with A-Z lower-cased and everything else kept."""
     return text.encode("utf-8", "surrogatepass").lower() if text else b""
+
+
+_HELD: dict = {}
+
+
+def held_by_worker(key, make):
+    """make()'s result, kept in this Python worker until another key is asked for, so that one operator's memory at most outlives its tasks."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

@@ -48,10 +48,9 @@ def load_tokenizer(path: str):
     return made
 
 
-@lru_cache(maxsize=2)
 def worker_encoder(path: str) -> LibraryEncoder:
     """One encoder a Python worker, so that what it remembers outlives a task."""
-    return LibraryEncoder(path)
+    return common.held_by_worker(("library encoder", path), lambda: LibraryEncoder(path))
 
 
 class LibraryEncoder:

@@ -41,7 +41,7 @@ ORDER = 5
 MOST = 12.0
 #: Words of a stretch, and words remembered by a worker.
 STRETCHES = (1, 3, 12)
-CACHE = 400_000
+CACHE = 300_000
 HELD_OUT_OF = 5
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -201,16 +201,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     return model
 
 
-#: Models and remembered words of this worker, by broadcast.
-_WORKER: dict[int, tuple] = {}
-
-
 def _worker(sent) -> tuple:
-    key = id(sent.value)
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = (sent.value, Remembered(sent.value) if sent.value else None)
-    return _WORKER[key]
+    """The broadcast model, and what this worker remembers of its evidence."""
+    model = sent.value
+    return common.held_by_worker(("toxicity", id(model)), lambda: (model, Remembered(model) if model else None))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
