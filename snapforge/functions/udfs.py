@@ -14,9 +14,17 @@ from pyspark.sql.types import ArrayType, StringType
 @F.pandas_udf(StringType())
 def compatibility_form(texts: pd.Series) -> pd.Series:
     """NFKC; ASCII comes back as it is."""
+    return _forms(texts)
+
+
+def _forms(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
+#: The same behind a fence: a filter on what is made of it isn't pushed below it, which would run it twice.
+compatibility_form_once = F.pandas_udf(_forms, StringType()).asNondeterministic()
+
+
 class _Cell(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)

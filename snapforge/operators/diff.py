@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import comparable, strip
-from ..functions.udfs import compatibility_form
+from ..functions.udfs import compatibility_form_once
 
 ORD = "ord"
 CHANGED = "Value_Changed"
@@ -106,7 +106,7 @@ def changed(
     then = then.select(F.col(_q(other)).alias("__id"), F.struct(*map(_q, shared)).alias("__then"))
     both = first_per_id(now, key).join(then, F.col(_q(key)) == F.col("__id"))
     both = both.where(~F.struct(*map(_q, shared)).eqNullSafe(F.col("__then")))
-    sides = [*(compatibility_form(_q(c)).alias(f"__a{i}") for i, c in enumerate(shared)), *(compatibility_form(F.col(f"__then.{_q(c)}")).alias(f"__b{i}") for i, c in enumerate(shared))]
+    sides = [*(compatibility_form_once(_q(c)).alias(f"__a{i}") for i, c in enumerate(shared)), *(compatibility_form_once(F.col(f"__then.{_q(c)}")).alias(f"__b{i}") for i, c in enumerate(shared))]
     both = both.select(*map(_q, now.columns), *sides)
     form = lambda c: comparable(F.col(c), case_insensitive, apply_location_suffix_rule, location_suffix_patterns, custom_equivalence_rules)
     differ = F.array_compact(F.array(*(F.when(form(f"__a{i}") != form(f"__b{i}"), F.lit(c)) for i, c in enumerate(shared))))

@@ -119,16 +119,16 @@ register(
 )
 
 
-def _from(name: str, *columns: Column | str):
-    return lambda spark, sf: fixture(spark, sf, name).select(*columns)
+def _from(name: str, columns: Callable[[], tuple]):
+    return lambda spark, sf: fixture(spark, sf, name).select(*columns())
 
 
-def _table(name: str, *columns: Column | str):
-    return lambda spark, sf: spark.read.parquet(f"{sf}/{name}.parquet").select(*columns)
+def _table(name: str, columns: Callable[[], tuple]):
+    return lambda spark, sf: spark.read.parquet(f"{sf}/{name}.parquet").select(*columns())
 
 
 CLEAN = "trim(regexp_replace(trim(replace(replace(replace(replace(replace(regexp_replace({0}, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g'), chr(13), ''), chr(9), ' '), '&nbsp;', ' '), chr(10), ' '), '\"', '')), '\\s+', ' ', 'g'))"
-register("clean_text", f"SELECT doc_id, {CLEAN.format('text')} AS cleaned FROM documents", _table("documents", "doc_id", T.clean_cell(F.col("text")).alias("cleaned")))
+register("clean_text", f"SELECT doc_id, {CLEAN.format('text')} AS cleaned FROM documents", _table("documents", lambda: ("doc_id", T.clean_cell(F.col("text")).alias("cleaned"),)))
 register("sanitize", None, lambda s, d: s.read.parquet(f"{d}/documents.parquet").select("doc_id", T.tidy(_nfkc("text")).alias("sanitized")))
 
 
@@ -146,9 +146,9 @@ def _company_sql(c: str) -> str:
 
 
 NAMES = "s_name || CASE s_suppkey % 6 WHEN 0 THEN ' Holdings Ltd.' WHEN 1 THEN ' Agri Company GmbH' WHEN 2 THEN ', Corn Corp Inc' WHEN 3 THEN ' & Sons S.p.A' WHEN 4 THEN '  O' || chr(39) || 'Neil \"X\" Co' ELSE '' END"
-register("company_norm", f"SELECT s_suppkey, {_company_sql(NAMES)} AS k FROM supplier", _table("supplier", "s_suppkey", T.company_key(F.expr(NAMES)).alias("k")))
-register("make_key", f"SELECT s_suppkey, replace(replace(replace(lower({NAMES}), ' ', ''), '\"', ''), '''', '') AS k FROM supplier", _table("supplier", "s_suppkey", T.plain_key(F.expr(NAMES)).alias("k")))
-register("match_norm", f"SELECT s_suppkey, trim(lower({NAMES})) AS k FROM supplier", _table("supplier", "s_suppkey", T.match_key(F.expr(NAMES)).alias("k")))
+register("company_norm", f"SELECT s_suppkey, {_company_sql(NAMES)} AS k FROM supplier", _table("supplier", lambda: ("s_suppkey", T.company_key(F.expr(NAMES)).alias("k"),)))
+register("make_key", f"SELECT s_suppkey, replace(replace(replace(lower({NAMES}), ' ', ''), '\"', ''), '''', '') AS k FROM supplier", _table("supplier", lambda: ("s_suppkey", T.plain_key(F.expr(NAMES)).alias("k"),)))
+register("match_norm", f"SELECT s_suppkey, trim(lower({NAMES})) AS k FROM supplier", _table("supplier", lambda: ("s_suppkey", T.match_key(F.expr(NAMES)).alias("k"),)))
 
 PARTS = "list_transform(string_split({0}, ','), lambda x: trim(x))"
 OWNER = f"SELECT ord, p[1] AS company, coalesce(p[2], '') AS city, CASE WHEN len(p) >= 3 THEN p[-1] ELSE '' END AS country FROM (SELECT ord, {PARTS.format('cert_owner')} AS p FROM raw)"
@@ -158,17 +158,17 @@ register("city_cap", with_fixtures(f"SELECT ord, {CAP.format('city')} AS city FR
 COUNTRY = f"SELECT ord, array_to_string(list_transform(list_filter(regexp_split_to_array(country, '\\s+'), lambda w: w <> ''), lambda w: CASE WHEN w IN ('of', 'the', 'and') THEN w ELSE {CAP.format('w')} END), ' ') AS country FROM ({OWNER})"
 register("country_name", with_fixtures(COUNTRY, "raw"), lambda s, d: fixture(s, d, "raw").select("ord", D.country(D.owner(F.col("cert_owner"))["country"]).alias("country")))
 register("country_override", with_fixtures(f"SELECT ord, {case_map(K.COUNTRY_OVERRIDES, 'country', 'country')} AS country FROM ({COUNTRY})", "raw"), lambda s, d: fixture(s, d, "raw").select("ord", D.country_override(D.country(D.owner(F.col("cert_owner"))["country"])).alias("country")))
-register("scope_desc", with_fixtures(f"SELECT ord, CASE WHEN cert_scope = '' THEN 'Unknown' ELSE array_to_string(list_transform({PARTS.format('cert_scope')}, lambda x: {case_map(K.SCOPE_DESCRIPTIONS, 'x', chr(39) + 'No Mapping' + chr(39))}), ', ') END AS description FROM raw", "raw"), _from("raw", "ord", D.scope_description(F.col("cert_scope")).alias("description")))
-register("facility_group", with_fixtures(f"SELECT ord, CASE WHEN len(g) = 0 THEN 'Unclassified' ELSE array_to_string(g, ', ') END AS grouping FROM (SELECT ord, list_sort(list_distinct(list_filter(list_transform({PARTS.format('cert_scope')}, lambda x: {case_map(K.FACILITY_GROUP_OF, 'x', 'NULL')}), lambda g: g IS NOT NULL))) AS g FROM raw)", "raw"), _from("raw", "ord", D.facility_grouping(F.col("cert_scope")).alias("grouping")))
+register("scope_desc", with_fixtures(f"SELECT ord, CASE WHEN cert_scope = '' THEN 'Unknown' ELSE array_to_string(list_transform({PARTS.format('cert_scope')}, lambda x: {case_map(K.SCOPE_DESCRIPTIONS, 'x', chr(39) + 'No Mapping' + chr(39))}), ', ') END AS description FROM raw", "raw"), _from("raw", lambda: ("ord", D.scope_description(F.col("cert_scope")).alias("description"),)))
+register("facility_group", with_fixtures(f"SELECT ord, CASE WHEN len(g) = 0 THEN 'Unclassified' ELSE array_to_string(g, ', ') END AS grouping FROM (SELECT ord, list_sort(list_distinct(list_filter(list_transform({PARTS.format('cert_scope')}, lambda x: {case_map(K.FACILITY_GROUP_OF, 'x', 'NULL')}), lambda g: g IS NOT NULL))) AS g FROM raw)", "raw"), _from("raw", lambda: ("ord", D.facility_grouping(F.col("cert_scope")).alias("grouping"),)))
 STATUS = "CASE WHEN regexp_full_match(trim(cert_status), '[+-]?[0-9]+') THEN " + case_map(K.STATUSES, "CAST(trim(cert_status) AS INT)", "'Unknown'") + " ELSE '' END"
-register("status_map", with_fixtures(f"SELECT ord, {STATUS} AS status FROM raw", "raw"), _from("raw", "ord", D.status(F.col("cert_status")).alias("status")))
+register("status_map", with_fixtures(f"SELECT ord, {STATUS} AS status FROM raw", "raw"), _from("raw", lambda: ("ord", D.status(F.col("cert_status")).alias("status"),)))
 TYPE = case_map(K.TYPE_ALIASES | {k: v for k, v in K.CERTIFICATE_TYPES.items()}, "upper(array_to_string(list_slice(list_transform(string_split(cert_number, '-'), lambda x: trim(x)), 1, 2), ' '))", "'Undefined'")
-register("cert_type", with_fixtures(f"SELECT ord, {TYPE} AS type FROM raw", "raw"), _from("raw", "ord", D.certificate_type(F.col("cert_number")).alias("type")))
-register("cert_class", with_fixtures(f"SELECT ord, {case_map({v: k for k, v in K.CERTIFICATE_TYPES.items()}, TYPE, chr(39) + 'Unknown' + chr(39))} AS class FROM raw", "raw"), _from("raw", "ord", D.certificate_class(D.certificate_type(F.col("cert_number"))).alias("class")))
+register("cert_type", with_fixtures(f"SELECT ord, {TYPE} AS type FROM raw", "raw"), _from("raw", lambda: ("ord", D.certificate_type(F.col("cert_number")).alias("type"),)))
+register("cert_class", with_fixtures(f"SELECT ord, {case_map({v: k for k, v in K.CERTIFICATE_TYPES.items()}, TYPE, chr(39) + 'Unknown' + chr(39))} AS class FROM raw", "raw"), _from("raw", lambda: ("ord", D.certificate_class(D.certificate_type(F.col("cert_number"))).alias("class"),)))
 register(
     "lat_lon",
     with_fixtures(f"SELECT ord, CASE WHEN ok THEN p[1] ELSE 'Unknown' END AS lat, CASE WHEN ok THEN p[2] ELSE 'Unknown' END AS lon FROM (SELECT ord, p, contains(cert_map, 'maps?q=') AND len(p) >= 2 AS ok FROM (SELECT ord, cert_map, list_filter({PARTS.format('string_split(cert_map, ' + chr(39) + 'maps?q=' + chr(39) + ')[-1]')}, lambda x: x <> '') AS p FROM raw))", "raw"),
-    _from("raw", "ord", D.coordinate(F.col("cert_map"), 0).alias("lat"), D.coordinate(F.col("cert_map"), 1).alias("lon")),
+    _from("raw", lambda: ("ord", D.coordinate(F.col("cert_map"), 0).alias("lat"), D.coordinate(F.col("cert_map"), 1).alias("lon"),)),
 )
 REGION = """+ lastgeo AS (SELECT "Country" AS k, max_by("LCF SnD region 2", ord) AS r, max_by("LCF SnD region 1", ord) AS s FROM geo GROUP BY 1)
 SELECT holders.*, CASE WHEN k IS NULL THEN 'Unknown' ELSE r END AS "Region", CASE WHEN k IS NULL THEN 'Unknown' ELSE s END AS "Sub_Region" FROM holders LEFT JOIN lastgeo ON "Country" = k"""
