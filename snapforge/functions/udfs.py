@@ -68,22 +68,27 @@ def html_cell(cells: pd.Series) -> pd.Series:
     return cells.map(cell_text)
 
 
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a word of bits for a row of the table."""
+def places(a: str) -> dict[str, int]:
+    """For each character of a the bits of its places."""
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    row = every = (1 << len(a)) - 1
+    return where
+
+
+def common_subsequence(where: dict[str, int], size: int, b: str) -> int:
+    """Length of the longest common subsequence of b and a string of that size and those places, a word of bits for a row of the table."""
+    row = every = (1 << size) - 1
     for c in b:
-        u = row & where.get(c, 0)
-        row = ((row + u) | (row - u)) & every
-    return len(a) - row.bit_count()
+        if u := row & where.get(c, 0):
+            row = ((row + u) | (row - u)) & every
+    return size - row.bit_count()
 
 
 def ratio(a: str, b: str) -> int:
     """100 * similarity by insertions and deletions, rounded; two empty strings are equal."""
     total = len(a) + len(b)
-    return round(200 * common_subsequence(a, b) / total) if total else 100
+    return round(200 * common_subsequence(places(a), len(a), b) / total) if total else 100
 
 
 def process(s: str) -> str:
@@ -108,11 +113,12 @@ def best_ratio(query: str, choices: list[tuple[str, str]], least: int) -> tuple[
     q, best, score = process(query), None, -1
     if not q:
         return None, 0
+    where, size = places(q), len(q)
     for choice, p in choices:
-        total = len(q) + len(p)
-        if total and 200 * min(len(q), len(p)) / total < max(least, score + 1) - 0.5:
+        total = size + len(p)
+        if 200 * min(size, len(p)) / total < max(least, score + 1) - 0.5:
             continue
-        if (s := ratio(q, p)) > score:
+        if (s := round(200 * common_subsequence(where, size, p) / total)) > score:
             best, score = choice, s
             if s == 100:
                 break

@@ -20,6 +20,11 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Over all shuffle partitions: few rows, but each one costs a comparison with every choice."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _has(df: DataFrame, *columns: str) -> None:
     for c in columns:
         if c not in df.columns:
@@ -73,7 +78,7 @@ def _near(prepared: list[str], least: int):
 
 def best_companies(names: DataFrame, choices: DataFrame, least: int) -> DataFrame:
     """key, choice, score: for each distinct key the first choice of the best ratio, where that reaches least."""
-    best = None
+    best, names = None, _spread(names)
     for i, block in enumerate(_in_blocks(choices, "choice", F.col("pos"))):
         prepared = [(c, process(c)) for c in block]
         found = names.select("key", _top(prepared, least)("key").alias("m")).select("key", "m.choice", "m.score", F.lit(-i).alias("earlier"))
@@ -104,7 +109,7 @@ def match_assets(df: DataFrame, assets: DataFrame, fuzzy_threshold: int = 80, st
     known = assets.where(raw.isNotNull())
     exact = known.select(match_key(raw, strict_punct).alias("__exact")).distinct()
     told = told.withColumn("__norm", match_key(F.col("Asset_Identifier"), strict_punct)).join(_small(exact), F.col("__norm") == F.col("__exact"), "left")
-    missed = told.where("__exact is null and __norm <> ''").select(F.col("Asset_Identifier").alias("__id")).distinct()
+    missed = _spread(told.where("__exact is null and __norm <> ''").select(F.col("Asset_Identifier").alias("__id")).distinct())
     hits = None
     for block in _in_blocks(known.select(raw.alias("v"), "ord"), "v", F.col("ord")):
         prepared = [process(c) for c in block]
