@@ -32,8 +32,8 @@ from . import common
 SEQUENCE_LENGTH = 1024
 #: Sequences in one record batch.
 BATCH_SEQUENCES = 256
-#: Distinct pieces between white space whose ids a worker remembers.
-CACHE = 1_200_000
+#: Distinct pieces between white space, and bare cores of them, whose ids a worker remembers.
+CACHE, CORES = 800_000, 650_000
 MANIFEST = "shard int, path string, n_tokens long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -72,7 +72,7 @@ class LibraryEncoder:
         self.by_piece = any(k.get("type") == "Split" and k.get("behavior") == "Removed" and k.get("invert") for k in kinds)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         #: Packed ids of whole pieces, and of pieces without case and closing punctuation.
-        self.known, self.cores = Known(self._of_piece), Known(self._of_core)
+        self.known, self.cores = Known(self._of_piece), Known(self._of_core, CORES)
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.asarray(ids, self.width).tobytes()
