@@ -33,7 +33,9 @@ SEQUENCE_LENGTH = 1024
 #: Sequences in one record batch.
 BATCH_SEQUENCES = 256
 #: Distinct pieces between white space, and bare cores of them, whose ids a worker remembers.
-CACHE, CORES = 800_000, 650_000
+CACHE, CORES = 600_000, 500_000
+#: Pieces that are looked up together, and new cores that go to the library in one call.
+TOGETHER, JOINED = 100_000, 10_000
 MANIFEST = "shard int, path string, n_tokens long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -60,7 +62,7 @@ class LibraryEncoder:
     a piece's end, so a text's ids are its pieces' ids in order. For other tokenizers whole texts are encoded.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int = CACHE, cores: int = CORES):
         import json
 
         self.tokenizer = load_tokenizer(path)
@@ -72,38 +74,86 @@ class LibraryEncoder:
         self.by_piece = any(k.get("type") == "Split" and k.get("behavior") == "Removed" and k.get("invert") for k in kinds)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         #: Packed ids of whole pieces, and of pieces without case and closing punctuation.
-        self.known, self.cores = Known(self._of_piece), Known(self._of_core, CORES)
+        self.known, self.cores, self.pieces, self.most = {}, {}, pieces, cores
+        #: An added token that parts cores in one call, as no core of that call has its first letter; no other option of it applies.
+        plain = (t for t in told.get("added_tokens", []) if t["content"].startswith("<") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]))
+        self.mark = next(((t["content"].encode(), t["id"]) for t in plain), None)
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.asarray(ids, self.width).tobytes()
 
-    def _of_core(self, core: bytes) -> bytes:
-        return self._pack(self.tokenizer.encode_batch_fast([core.decode("utf-8", "surrogatepass")], add_special_tokens=False)[0].ids)
-
-    def _of_piece(self, piece: bytes) -> bytes:
-        """A piece's ids from those of its core and its tail.
+    def _whole(self, text: bytes) -> bytes:
+        return self._pack(self.tokenizer.encode_batch_fast([text.decode("utf-8", "surrogatepass")], add_special_tokens=False)[0].ids)
+
+    def _encode(self, cores: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each core with its packed ids; the library goes over many at once."""
+        alone = [c for c in cores if b"<" in c or b">" in c] if self.mark else cores
+        yield from zip(alone, map(self._whole, alone), strict=True)
+        rest = [c for c in cores if b"<" not in c and b">" not in c] if self.mark else []
+        for at in range(0, len(rest), JOINED):
+            some = rest[at : at + JOINED]
+            text, mark_id = self.mark[0].join(some).decode("utf-8", "surrogatepass"), self.mark[1]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+            marks = np.flatnonzero(ids == mark_id)
+            if len(marks) != len(some) - 1:
+                raise ValueError("the tokenizer's added token doesn't part pieces")
+            packed, size = ids.tobytes(), self.width.itemsize
+            yield from zip(some, map(packed.__getitem__, map(slice, [0, *((marks + 1) * size).tolist()], [*(marks * size).tolist(), len(packed)])), strict=True)
+
+    def _parts(self, piece: bytes) -> tuple[bytes, bytes]:
+        """A piece's core and tail, whose ids in order are its own.
 
         Case plays no part in ASCII where the tokenizer lower-cases, and ASCII punctuation after a letter is a word of its own; an
         apostrophe may start a word with letters, and a bracket may belong to an added token.
         """
         if piece.isalpha():  # of bytes: ASCII letters
-            return self.cores[piece.lower() if self.lowers else piece]
+            return piece.lower() if self.lowers else piece, b""
         if b"<" in piece or b">" in piece:
-            return self.cores[piece]
+            return piece, b""
         core = piece.rstrip(b".,;:!?*%$&#|")
         if not core or not 97 <= core[-1] | 32 <= 122:
-            core = piece
+            return piece.lower() if self.lowers and piece.isascii() else piece, b""
         tail = piece[len(core) :]
-        if self.lowers and core.isascii():
-            core = core.lower()
-        return self.cores[core] + self.cores[tail] if tail else self.cores[core]
+        return core.lower() if self.lowers and core.isascii() else core, tail
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        """Make the ids of these pieces known; what was known before goes when there is no room."""
+        if len(self.known) + len(pieces) > self.pieces:
+            self.known.clear()
+        parts = list(map(self._parts, pieces))
+        wanted = {x for part in parts for x in part if x}.difference(self.cores)
+        if len(self.cores) + len(wanted) > self.most:
+            self.cores.clear()
+            wanted = {x for part in parts for x in part if x}
+        self.cores.update(self._encode(list(wanted)))
+        of = self.cores
+        self.known.update(zip(pieces, [of[core] + of[tail] if tail else of[core] for core, tail in parts], strict=True))
+
+    def _joined(self, groups: list[list[bytes]]) -> list[bytes]:
+        """The packed ids of each list of pieces."""
+        pieces = set().union(*groups)
+        if new := pieces.difference(self.known):
+            # after a clearing, pieces that were known are wanted too
+            self._learn(new if len(self.known) + len(new) <= self.pieces else pieces)
+        of = self.known.__getitem__
+        return [b"".join(map(of, g)) for g in groups]
 
     def encode_batch(self, texts: list[bytes]) -> list[bytes]:
-        """The packed ids of each UTF-8 text."""
+        """The packed ids of each UTF-8 text; pieces are looked up a bounded number at a time, long texts in several goes."""
         if not self.by_piece:
             return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False)]
-        of = self.known.__getitem__
-        return [b"".join(map(of, t.split())) for t in texts]
+        out, groups, held = [], [], 0
+        for text in texts:
+            pieces = text.split()
+            if held + len(pieces) > TOGETHER:
+                out += self._joined(groups)
+                groups, held = [], 0
+            if len(pieces) > TOGETHER:
+                out.append(b"".join(x for at in range(0, len(pieces), TOGETHER) for x in self._joined([pieces[at : at + TOGETHER]])))
+            else:
+                groups.append(pieces)
+                held += len(pieces)
+        return out + self._joined(groups)
 
 
 class Known(dict):

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -318,3 +319,19 @@ def test_pipeline(spark, tmp_path):
     assert 0 < kept.count() <= given and not kept.where("text like '%[SECRET]%'").isEmpty()
     out = corpus_pipeline.run(spark, sf)
     assert {r[0] for r in out.select("doc_id").collect()} == {r[0] for r in kept.select("doc_id").collect()}
+
+
+@pytest.mark.parametrize("pieces, cores, together", [(800_000, 650_000, 100_000), (300, 250, 40)])
+def test_library_encoder_equals_the_library(monkeypatch, pieces, cores, together):
+    """Whatever room it has, and however many pieces go together, long texts and added tokens included."""
+    monkeypatch.setattr(token_binary, "TOGETHER", together)
+    monkeypatch.setattr(token_binary, "JOINED", 7)
+    rng = random.Random(3)
+    texts = ["", "  ", "<|endoftext|> a<|startoftext|>b", "　", "é Å. ΣΑΣ. it's IT'S. don't.. 'll 12.. a1. <b> ...", "word " * 500, " ".join(f"w{i}." for i in range(900))]
+    texts += ["".join(rng.choice("abZ '.,!<>|éΣß1 9́‍　\n\tx%$") for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    made = token_binary.LibraryEncoder(WORD_BPE, pieces, cores)
+    plain = token_binary.load_tokenizer(WORD_BPE)
+    for at in range(0, len(texts), 64):
+        some = texts[at : at + 64]
+        want = [np.asarray(plain.encode(t, add_special_tokens=False).ids, made.width).tobytes() for t in some]
+        assert made.encode_batch([t.encode() for t in some]) == want
