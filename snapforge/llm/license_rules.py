@@ -229,7 +229,8 @@ unicode | 70 | unicode | unicode(?: inc)? license(?: agreement)?
 json | 50 | good not evil | the software shall be used for good not evil
 reserved | 70 | all rights | all rights reserved
 reserved | 50 | no part of | no part of this (?:publication|book|document|work) may be reproduced
-reserved | 50 | written permission | without the (?:prior|express) written (?:permission|consent) of
+reserved | 50 | written permission | without the (?:prior|express) written permission of
+reserved | 50 | written consent | without the (?:prior|express) written consent of
 proprietary | 70 | proprietary | proprietary and confidential
 proprietary | 50 | unauthorized | unauthorized (?:copying|use|distribution|reproduction) .{0,60}(?:is )?(?:strictly )?prohibited
 proprietary | 50 | trade secret | (?:contains|constitutes?) trade secrets?

@@ -1,6 +1,7 @@
 """Each contract query against a brute-force version, on a small fixture of ordinary and odd rows."""
 
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -11,7 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from snapforge.llm import bpe, common, decontaminate, katz, licenses, pii, quality, secrets_scan, simhash, token_binary, toxicity
+from snapforge.llm import bpe, common, decontaminate, katz, license_rules, licenses, pii, quality, secrets_scan, simhash, token_binary, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORD_BPE, BYTE_BPE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -293,6 +294,37 @@ def test_op10(docs, rows):
     assert licenses.scan_text("Licensed under the Apache License, Version 2.0")[5] == "apache-2.0" and licenses.scan_text("CC BY-NC 4.0")[5] == "cc-by,cc-by-nc-4.0"
 
 
+def expansions(parsed):
+    """Every alternative of a parsed expression; a repeat stands as often as it must and once more, a class or a dot as NUL."""
+    from re import _constants as kind
+
+    parts = []
+    for op, what in parsed:
+        if op is kind.LITERAL:
+            parts.append([chr(what)])
+        elif op is kind.SUBPATTERN:
+            parts.append(expansions(what[3]))
+        elif op is kind.BRANCH:
+            parts.append([t for b in what[1] for t in expansions(b)])
+        elif op is kind.MAX_REPEAT:
+            parts.append([t * n for n in sorted({what[0], min(what[1], what[0] + 1)}) for t in expansions(what[2])])
+        elif op in (kind.ANY, kind.IN):
+            parts.append(["\0"])
+        else:
+            assert op is kind.ASSERT_NOT, op
+    return ["".join(p) for p in itertools.product(*parts)]
+
+
+def test_every_license_rule_holds_its_keyword():
+    from re import _parser
+
+    lines = [[x.strip() for x in line.split(" | ", 3)] for line in license_rules.RULES.strip().splitlines()]
+    assert not [(keyword, t) for _, _, keyword, expression in lines for t in expansions(_parser.parse(expression)) if keyword not in f" {t} "]
+    for kind in ("prior", "express"):
+        for what in ("permission", "consent"):
+            assert licenses.scan_text(f"Not to be copied without the {kind} written {what} of the owner.")[5:] == ("reserved", 0.5)
+
+
 def test_empty_tables(spark, docs):
     none, labels, bench = docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int"), spark.createDataFrame([], "item_id long, text string")
     manifest = token_binary.write_tokens(none, common.scratch(spark, "none"), WORD_BPE)
