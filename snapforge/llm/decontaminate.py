@@ -1,14 +1,16 @@
 """Benchmark decontamination by winnowing, in DataFrame operations only.
 
 Fingerprints. Every word sequence gets the hashes of its 5-grams; the least of each 6 consecutive ones is the fingerprint of
-the 10 words they span. Equal 10-word windows have equal fingerprints, so a join on fingerprints finds every shared
-span of 10 words or more. A hit is then extended: the hash of the window's own 10 words must agree too, and
-neighbouring hits flow together into the spans whose words are counted. (Different windows are taken
-as equal only if both a shared 5-gram hash and a 64-bit hash of all ten words coincide.)
+the 10 words they span. A fingerprint is selected once for a run of neighbouring windows that share it. Equal 10-word windows
+have equal fingerprints, so a join on the selected ones finds every shared span of 10 words or more. A hit is then
+verified and extended over its run: the hash of each window's own 10 words must agree too, and neighbouring hits
+flow together into the spans whose words are counted. (Different windows are taken as equal only if both a shared 5-gram
+hash and a 64-bit hash of all ten words coincide.)
 
 An item of fewer than 10 words is one window of its own length, matched by the hash of all its words.
 
-Joins. The benchmark's windows are broadcast while there are at most BROADCAST_WINDOWS of them, which is counted first.
+Joins. The benchmark's windows are broadcast while there are at most BROADCAST_WINDOWS of them, which is counted first; so
+are its items of each size below 10 words.
 Beyond that, documents are first reduced to those that share a fingerprint, by a join on each document's distinct
 fingerprints, and both joins shuffle; a fingerprint held by a large share of documents is then a skewed key with few
 benchmark rows on the other side, which Spark splits.
@@ -62,14 +64,25 @@ def _short(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("whole", F.slice("whole", 1, F.greatest(n - (size - 1), F.lit(0)))).drop("h")
 
 
-def _spread(rows: DataFrame, *keys: str, lead: bool = False) -> DataFrame:
-    """A row a window: keys, pos, fp, whole; with lead, also one of nulls for each row."""
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """A row a window: keys, pos, fp, whole."""
     pairs = F.zip_with("fp", "whole", lambda a, b: F.struct(a.alias("fp"), b.alias("whole")))
-    if not lead:
-        return rows.select(*keys, F.posexplode(pairs).alias("pos", "w")).select(*keys, "pos", "w.fp", "w.whole")
-    none = F.lit(None).cast("struct<fp:bigint,whole:bigint>")
-    spread = rows.select(*keys, F.posexplode(F.concat(F.array(none), pairs)).alias("at", "w"))
-    return spread.select(*keys, F.when(F.col("at") > 0, F.col("at") - 1).alias("pos"), "w.fp", "w.whole")
+    return rows.select(*keys, F.posexplode(pairs).alias("pos", "w")).select(*keys, "pos", "w.fp", "w.whole")
+
+
+def _selected(rows: DataFrame, *keys: str, lead: bool = False) -> DataFrame:
+    """A row a selected fingerprint: keys, fp, start, wholes of the run of windows from start that share it; with lead, also one of nulls for each row."""
+    starts = F.transform("fp", lambda x, i: F.when((i == 0) | (F.get("fp", i - 1) != x), i))
+    rows = rows.withColumn("starts", F.array_compact(starts))
+
+    def run(at: Column, i: Column) -> Column:
+        after = F.coalesce(F.get("starts", i + 1), F.size("whole"))
+        return F.struct(F.get("fp", at).alias("fp"), at.alias("start"), F.slice("whole", at + 1, after - at).alias("wholes"))
+
+    runs = F.transform("starts", run)
+    if lead:
+        runs = F.concat(F.array(F.lit(None).cast("struct<fp:bigint,start:int,wholes:array<bigint>>")), runs)
+    return rows.select(*keys, F.explode(runs).alias("w")).select(*keys, "w.fp", "w.start", "w.wholes")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -81,19 +94,24 @@ def _matches(docs: DataFrame, benchmark: DataFrame, every: bool, broadcast_windo
     """doc_id, key, digest, n, pos, size, items: a row a hit; with every, also one with null pos and items for each row of docs."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), _words(F.col("text").cast("string")).alias("words")).where("item is not null and size(words) > 0")
     items = common.stage(_hashed(items), "items")
-    short_sizes = sorted(r[0] for r in items.where(F.col("n") < WINDOW).select("n").distinct().collect())  # at most 9
+    short_sizes = sorted(map(tuple, items.where(F.col("n") < WINDOW).groupBy("n").count().collect()))  # at most 9
     long = _spread(_windows(items.where(F.col("n") >= WINDOW)), "item").groupBy("fp", "whole").agg(F.collect_set("item").alias("items"))
     long = common.stage(long, "windows")
     small = long.count() <= broadcast_windows
-    hinted = F.broadcast if small else (lambda x: x)
 
     names = ["doc_id", "key", "digest", "n"]
     hashed = _hashed(_keyed(docs).select("doc_id", "key", "digest", _words(F.col("text")).alias("words")))
     found = [*names, "pos", F.lit(WINDOW).alias("size"), "items"]
-    if small and every:  # one pass: an entry that matches nothing stands before each document's windows
-        hits = _spread(_windows(hashed), *names, lead=True).join(hinted(long), ["fp", "whole"], "left").where("items is not null or pos is null").select(*found)
+    held_by_item = F.broadcast(long.select("fp").distinct().withColumn("known", F.lit(True)))
+    place = (F.col("start") + F.col("k")).alias("pos")
+    if small and every:  # one pass: an entry that matches nothing stands before each document's fingerprints
+        near = _selected(_windows(hashed), *names, lead=True).join(held_by_item, "fp", "left").where("known or start is null")
+        near = near.select(*names, "fp", "start", F.posexplode_outer("wholes").alias("k", "whole")).select(*names, "fp", "whole", place)
+        hits = near.join(F.broadcast(long), ["fp", "whole"], "left").where("items is not null or pos is null").select(*found)
     elif small:
-        hits = _spread(_windows(hashed.where(F.col("n") >= WINDOW)), *names).join(hinted(long), ["fp", "whole"]).select(*found)
+        near = _selected(_windows(hashed.where(F.col("n") >= WINDOW)), *names).join(held_by_item, "fp")
+        near = near.select(*names, "fp", "start", F.posexplode("wholes").alias("k", "whole")).select(*names, "fp", "whole", place)
+        hits = near.join(F.broadcast(long), ["fp", "whole"]).select(*found)
     else:
         windows = _windows(hashed.where(F.col("n") >= WINDOW))
         held = windows.select("key", "digest", F.explode(F.array_distinct("fp")).alias("fp")).join(long.select("fp").distinct(), "fp", "left_semi")
@@ -101,7 +119,8 @@ def _matches(docs: DataFrame, benchmark: DataFrame, every: bool, broadcast_windo
         hits = _spread(windows, *names).join(long, ["fp", "whole"]).select(*found)
         if every:
             hits = hits.unionByName(hashed.select(*names, F.lit(None).cast("int").alias("pos"), F.lit(WINDOW).alias("size"), F.lit(None).cast("array<string>").alias("items")))
-    for size in short_sizes:
+    for size, n_items in short_sizes:
+        hinted = F.broadcast if n_items <= broadcast_windows else (lambda x: x)
         known = _short(items.where(F.col("n") == size), size).select("item", F.explode("whole").alias("whole")).groupBy("whole").agg(F.collect_set("item").alias("items"))
         spread = _short(hashed.where(F.col("n") >= size), size).select(*names, F.posexplode("whole").alias("pos", "whole"))
         hits = hits.unionByName(spread.join(hinted(known), "whole").select(*names, "pos", F.lit(size).alias("size"), "items"))

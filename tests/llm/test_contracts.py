@@ -294,6 +294,34 @@ def test_op10(docs, rows):
     assert licenses.scan_text("Licensed under the Apache License, Version 2.0")[5] == "apache-2.0" and licenses.scan_text("CC BY-NC 4.0")[5] == "cc-by,cc-by-nc-4.0"
 
 
+def test_op9_joins_selected_fingerprints(spark):
+    words = [f"v{i}" for i in range(400)]
+    texts = [" ".join(words), "again " * 300, "too short", " ".join(words[:10])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", decontaminate._words("text").alias("words"))
+    windows = decontaminate._windows(decontaminate._hashed(rows))
+    want = {r["doc_id"]: (r["fp"], r["whole"]) for r in windows.collect()}
+    runs = defaultdict(list)
+    for r in sorted(decontaminate._selected(windows, "doc_id").collect(), key=lambda r: (r["doc_id"], r["start"])):
+        assert r["start"] == sum(len(x["wholes"]) for x in runs[r["doc_id"]])
+        runs[r["doc_id"]].append(r)
+    for i, (fp, whole) in want.items():
+        assert [r["fp"] for r in runs[i] for _ in r["wholes"]] == fp and [w for r in runs[i] for w in r["wholes"]] == whole
+        assert all(a["fp"] != b["fp"] for a, b in itertools.pairwise(runs[i]))
+    assert [len(runs[i]) for i in (1, 2, 3)] == [1, 0, 1] and len(runs[0]) < 391 / 2
+
+
+def test_op9_counts_short_items_before_broadcasting_them(spark, docs):
+    bench = spark.createDataFrame([(i, f"short item{i}") for i in range(5)], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda most: decontaminate.contamination(docs, bench, most)._jdf.queryExecution().sparkPlan().toString().split("Join")
+        hinted = lambda most: sum(p.endswith("BroadcastHash") for p in plan(most))
+        assert hinted(5) == hinted(4) + 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def expansions(parsed):
     """Every alternative of a parsed expression; a repeat stands as often as it must and once more, a class or a dot as NUL."""
     from re import _constants as kind
