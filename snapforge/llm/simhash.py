@@ -22,7 +22,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -54,15 +54,22 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint as a signed long."""
+def _digest(text: str) -> Column:
+    """Tells the texts of one doc_id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def fingerprints(docs: DataFrame, digest: bool = False) -> DataFrame:
+    """doc_id and fingerprint as a signed long; with digest, also the text's."""
+    rows = common.id_text(docs)
+    rows = rows.withColumn("digest", _digest(common.TEXT)) if digest else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(codes.view(np.int64))], names=["doc_id", "code"])
+            yield pa.record_batch([batch.column(0), pa.array(codes.view(np.int64)), *batch.columns[2:]], names=["doc_id", "code", *batch.schema.names[2:]])
 
-    return common.id_text(docs).mapInArrow(run, "doc_id long, code long")
+    return rows.mapInArrow(run, "doc_id long, code long, digest long" if digest else "doc_id long, code long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -184,25 +191,35 @@ def near_links(codes: DataFrame) -> DataFrame:
     return dealt.repartition(n, "key", "sub").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, code (signed long), component_id for every row."""
-    codes = common.stage(fingerprints(docs), "fingerprints")
+def _grouped(codes: DataFrame) -> DataFrame:
+    """codes, staged, with each row's component_id and centre: the code that stands for its group, whatever ids are repeated."""
     distinct = common.stage(codes.groupBy("code").agg(F.min("doc_id").alias("least")), "codes")
     star = components(near_links(distinct.select("code")))
     centred = distinct.join(star.select(F.col("u").alias("code"), F.col("v").alias("centre")), "code", "left").select("code", "least", F.coalesce("centre", "code").alias("centre"))
     group = centred.groupBy("centre").agg(F.min("least").alias("component_id"))
-    member = centred.join(group, "centre").select("code", "component_id")
-    return codes.join(member, "code").select("doc_id", "code", "component_id")
+    member = centred.join(group, "centre").select("code", "component_id", "centre")
+    return codes.join(member, "code")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, code (signed long), component_id for every row."""
+    return _grouped(common.stage(fingerprints(docs), "fingerprints")).select("doc_id", "code", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one document of each group, the one with the smallest doc_id; all its columns stay.
 
-    Rows without a doc_id can't be named as members, so they stay. Repeated rows of one doc_id count as one.
+    A document is a doc_id and a text: where one doc_id carries several texts, each is judged in its own group, and of several
+    in one group the one of the least digest stays. Rows equal in both count as one; if their other columns differ, the
+    row of the least hash stays (maps can't be hashed and take no part). Rows without a doc_id can't be named as members, so they stay.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = docs.where(F.col(common.ID).isNotNull())
-    one = named.join(kept, named[common.ID] == kept["__kept_id"], "left_semi").dropDuplicates([common.ID])
+    least = _grouped(common.stage(fingerprints(docs, digest=True), "fingerprints")).where("doc_id = component_id")
+    kept = least.groupBy("centre").agg(F.min("doc_id").alias("__kept_id"), F.min("digest").alias("__kept_digest")).drop("centre")
+    named = docs.where(F.col(common.ID).isNotNull()).withColumn("__digest", _digest(common.TEXT))
+    one = named.join(kept, (named[common.ID] == kept["__kept_id"]) & (named["__digest"] == kept["__kept_digest"]), "left_semi")
+    columns = [(F.col(f"`{c}`"), kind) for c, kind in docs.dtypes]
+    row = F.min_by(F.struct(*(c for c, _ in columns)), F.xxhash64(*(c for c, kind in columns if "map<" not in kind)))
+    one = one.groupBy(common.ID, "__digest").agg(row.alias("__row")).select("__row.*")
     return one.unionByName(docs.where(F.col(common.ID).isNull()))
 
 

@@ -98,6 +98,22 @@ def test_op2(docs, rows):
     assert kept.columns == docs.columns and sorted(r[0] for r in kept.where("doc_id is not null").select("doc_id").collect()) == sorted({x for x in least.values() if x is not None})
 
 
+def test_keep_one_tells_the_texts_of_one_id_apart(spark):
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcde")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, d, "x"), (4, e, "y"), (4, e, "x"), (5, LONG, "x"), (5, LONG + " end", "x"), (None, a, "x")]
+    code = simhash.fingerprint
+    assert (code(LONG) ^ code(LONG + " end")).bit_count() <= simhash.RADIUS
+    seen = set()
+    for n in (1, 2, 5):
+        docs = spark.createDataFrame(random.Random(n).sample(rows, len(rows)), "doc_id long, text string, lang string").repartition(n)
+        kept = simhash.keep_one(docs)
+        assert kept.columns == docs.columns
+        seen.add(tuple(sorted(map(tuple, kept.collect()), key=str)))
+    assert len(seen) == 1
+    got = Counter((i, t) for i, t, _ in seen.pop())
+    assert Counter({k: v for k, v in got.items() if k[0] != 5}) == Counter([(1, a), (2, b), (3, c), (3, d), (4, e), (None, a)]) and sum(k[0] == 5 for k in got) == 1
+
+
 def test_index_finds_all_links():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 1 << 63, 40, np.uint64)
