@@ -1,7 +1,8 @@
 """Licence scans: ordered signature rules behind a keyword automaton.
 
 A text is reduced to its lower-case words joined by single spaces. One Aho-Corasick pass finds the keywords; only the rules
-whose keyword occurs are matched. Overlapping detections are settled by interval containment: a detection inside
+whose keyword occurs are matched. The contract's phrases are rules too, whose matches give the base places and take no
+part in what follows. Overlapping detections are settled by interval containment: a detection inside
 another one of at least its priority goes, and of equal intervals the one of highest priority, then the first in
 the rules' order, stays. A text's score is the best detection's priority, as a share of 100, raised
 towards 1 by further detections.
@@ -30,12 +31,12 @@ WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 
 @lru_cache(maxsize=1)
 def compiled():
-    """(keyword automaton, [(label, priority, expression)])"""
+    """(keyword automaton, [(label, priority, expression)]); the last rules, of priority 0, are BASE, each its own keyword."""
     import ahocorasick
 
     rules, by_keyword = [], {}
-    for line in RULES.strip().splitlines():
-        label, priority, keyword, expression = (x.strip() for x in line.split(" | ", 3))
+    lines = [[x.strip() for x in line.split(" | ", 3)] for line in RULES.strip().splitlines()]
+    for label, priority, keyword, expression in [*lines, *((label, 0, phrase, phrase) for phrase, label in BASE)]:
         by_keyword.setdefault(keyword, []).append(len(rules))
         rules.append((label, int(priority), re.compile(f"(?<= )(?:{expression})(?= )")))
     automaton = ahocorasick.Automaton()
@@ -45,11 +46,17 @@ def compiled():
     return automaton, rules
 
 
-def detections(text: str) -> list[tuple[int, int, str, int]]:
-    """(start, end, label, priority) in reduced text with a space at either end, after suppression."""
+def matches(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, rule) of every rule's matches in reduced text with a space at either end, before suppression."""
     automaton, rules = compiled()
     wanted = sorted({k for _, which in automaton.iter(text) for k in which})
-    found = [(m.start(), m.end(), k) for k in wanted for m in rules[k][2].finditer(text)]
+    return [(m.start(), m.end(), k) for k in wanted for m in rules[k][2].finditer(text)]
+
+
+def detections(matched: list[tuple[int, int, int]]) -> list[tuple[int, int, str, int]]:
+    """(start, end, label, priority) of the matches that have a priority, after suppression."""
+    rules = compiled()[1]
+    found = [f for f in matched if rules[f[2]][1]]
     found.sort(key=lambda f: (f[0], -f[1], -rules[f[2]][1], f[2]))
     kept: list[tuple[int, int, str, int]] = []
     around: list[tuple[int, int]] = []  # (end, priority) of kept ones that may contain what follows
@@ -66,22 +73,16 @@ def detections(text: str) -> list[tuple[int, int, str, int]]:
 def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
     """n_words, n_base, first_word, last_word, base_labels, labels, score."""
     raw = text.encode("utf-8", "surrogatepass").translate(WORDS).split() if text else []
-    reduced = b" ".join([b"", *raw, b""])
-    places, base = [], set()
-    for phrase, label in BASE:
-        want = f" {phrase} ".encode()
-        at = reduced.find(want)
-        while at >= 0:
-            places.append(at)
-            base.add(label)
-            at = reduced.find(want, at + 1)
-    plain = reduced.decode("utf-8", "surrogatepass")
-    found = detections(plain) if raw else []
+    plain = b" ".join([b"", *raw, b""]).decode("utf-8", "surrogatepass")
+    matched, rules = matches(plain) if raw else [], compiled()[1]
+    own = [(start, rules[k][0]) for start, _, k in matched if not rules[k][1]]
+    places, base = [start for start, _ in own], {label for _, label in own}
+    found = detections(matched)
     labels = base | {f[2] for f in found}
     miss = 1.0
     for p in [f[3] for f in found] or [50] * bool(base):
         miss *= 1 - p / 100
-    first, last = (reduced.count(b" ", 0, p) for p in (min(places), max(places))) if places else (None, None)
+    first, last = (plain.count(" ", 0, p - 1) for p in (min(places), max(places))) if places else (None, None)
     return len(raw), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), 1 - miss
 
 

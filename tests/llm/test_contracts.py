@@ -310,6 +310,15 @@ def test_op10(docs, rows):
     assert licenses.scan_text("Licensed under the Apache License, Version 2.0")[5] == "apache-2.0" and licenses.scan_text("CC BY-NC 4.0")[5] == "cc-by,cc-by-nc-4.0"
 
 
+def test_op10_base_places_are_matches_of_rules(monkeypatch):
+    text = "é CC-BY-NC 4.0, cc by cc by GENERAL public license general public license version 2; all rights reserved"
+    assert licenses.scan_text(text)[1:5] == (6, 1, 18, "cc-by,gpl,reserved")
+    base = [f for f in licenses.matches(" é cc by nc 4 0 cc by ") if not licenses.compiled()[1][f[2]][1]]
+    assert [f[:2] for f in base] == [(3, 8), (16, 21)]
+    monkeypatch.setattr(licenses, "matches", lambda text: [])
+    assert licenses.scan_text(text)[1:6] == (0, None, None, "", "")
+
+
 def test_op9_joins_selected_fingerprints(spark):
     words = [f"v{i}" for i in range(400)]
     texts = [" ".join(words), "again " * 300, "too short", " ".join(words[:10])]
