@@ -1,7 +1,8 @@
-"""Toxicity by class-conditional Kneser-Ney models.
+"""Toxicity by class-conditional word counts and Kneser-Ney models of letters.
 
-For each class an interpolated Kneser-Ney model gives the probability of an expression (a word): absolutely
-discounted continuation counts of the word (its different left contexts), backed off to a model of its letters in contexts of up to ORDER - 1 letters. The letter model's
+For each class, an expression (a word) with more than RARE different left contexts in both classes together has the add-one
+unigram probability of those contexts' count. Any other word's own counts are not used: an interpolated, absolutely discounted
+Kneser-Ney model gives its probability from its letters in contexts of up to ORDER - 1 letters. No word is conditioned on the one before it. The letter model's
 top order is the class's own; all lower orders are continuation counts that the classes share, so a rare expression is
 smoothed alike by both and only what a class really says more often tells. A text's evidence is the length-normalised
 difference of its toxic and ordinary log-likelihoods, over the whole text and over its most toxic stretches; a logistic
