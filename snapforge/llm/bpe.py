@@ -4,8 +4,8 @@ Encoding. A word's symbols arrive one by one. For each prefix the transducer kno
 encoding, so every prefix's encoding is a path in a tree whose edges are tokens. A later symbol can only hang a token
 onto one of the last L positions, L being the longest token; once the paths of those positions meet, all tokens
 up to the meeting point are stable and leave. ``sufficient_lookahead`` computes from the merge list how many symbols
-that can take at most; memory is bounded by it and not by the word. Words no longer than a small window fit
-in the look-ahead whole and are merged at once; their ids are remembered in a bounded cache.
+that can take at most; the stream itself does not read that bound or enforce it. Words no longer than a small window of its
+own (WINDOW) are merged at once; their ids are remembered in a bounded cache.
 
 Decoding. Ids arrive one by one and text leaves as soon as its bytes are complete. For byte-level tokenizers a
 UTF-8 state machine holds at most three bytes back; malformed bytes become U+FFFD. Where the tokenizer
