@@ -1,13 +1,16 @@
-"""BPE encoding as a streaming transducer, and decoding as a byte-to-text state machine.
+"""BPE encoding as a bounded-lookahead streaming transducer, and decoding as an incremental byte-to-text state machine.
 
-Encoding. A word's symbols arrive one by one. For each prefix the transducer knows the last token of the prefix's
-encoding, so every prefix's encoding is a path in a tree whose edges are tokens. A later symbol can only hang a token
-onto one of the last L positions, L being the longest token; once the paths of those positions meet, all tokens
-up to the meeting point are stable and leave. ``sufficient_lookahead`` computes from the merge list how many symbols
-that can take at most; the stream itself does not read that bound or enforce it. Words no longer than a small window of its
-own (WINDOW) are merged at once; their ids are remembered in a bounded cache.
+Encoding. A word's symbols arrive one by one. For each prefix the transducer knows the last token of the prefix's encoding: the
+one token that ends there and fits after the last token of what stands before it. So every prefix's encoding is a path
+in a tree whose edges are tokens, and a later symbol can only hang a token onto one of the last positions, as far back as
+the longest token reaches. Once the paths of those positions meet, the tokens up to the meeting point are stable and
+leave. ``sufficient_lookahead`` computes from the merge list how many further symbols decide a token at the latest: what lies
+that far back leaves even if no paths have met, so a transducer never holds more than lookahead + 2 * longest symbols.
 
-Decoding. Ids arrive one by one and text leaves as soon as its bytes are complete. For byte-level tokenizers a
+All words go through the transducer; a worker remembers the ids of a bounded number of cores of words (see pieces), and texts
+go in blocks of bounded size, so memory doesn't grow with a text.
+
+Decoding. Ids arrive in blocks and text leaves as soon as its bytes are complete. For byte-level tokenizers a
 UTF-8 state machine holds at most three bytes back; malformed bytes become U+FFFD. Where the tokenizer
 file names no decoder, tokens are joined by a space, as the library does.
 
@@ -21,24 +24,19 @@ import codecs
 import hashlib
 import json
 import unicodedata
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import common
-from .token_binary import Known
-
-#: Words of at most so many symbols are merged whole.
-WINDOW = 64
-#: Words and pairs that an encoder remembers.
-CACHE = 100_000
-#: Pieces between white space that a worker remembers.
-PIECES = 500_000
+from .pieces import CORES, Pieces, blocks, by_piece, lowers
+
+#: Pairs of tokens whose fit a transducer remembers.
+FITS = 400_000
 #: Below this code point all Unicode versions in use agree on case, letters, digits and white space.
 AGREED = 0x530
 
@@ -101,15 +99,36 @@ def sufficient_lookahead(pairs: list[tuple[str, str]], longest: int) -> int:
     return (most + 1) * longest
 
 
-class Encoder:
-    """Texts to ids; ``stream`` works on words symbol by symbol, ``encode`` on texts piece by piece."""
+class Transducer:
+    """One word's symbols to its ids: feed() gives the tokens that have become stable, close() the rest.
 
-    def __init__(self, path: str):
-        self.t = tables(path)
-        self.symbols = dict(enumerate(byte_symbols()))
-        self.word_ids: dict[str, tuple[int, ...]] = {}
-        self.pair_ok: dict[tuple[str, str], bool] = {}
-        self.library = None
+    Symbols are single characters. The last one of a word is marked by the tokenizer's suffix, which only close() can know, so
+    up to a longest token's worth is held back. A symbol outside the vocabulary has no id and parts what stands around it.
+    """
+
+    def __init__(self, t: Tables):
+        import ahocorasick
+
+        self.t, self.fits = t, {}
+        self.tokens = ahocorasick.Automaton()  # of tokens inside a word, and the same with the suffix's mark for its end
+        self.last_of: dict[str, tuple[int, int]] = {}
+        for token, i in t.vocab.items():
+            body = token.removesuffix(t.suffix) if t.suffix else token
+            if body and (body == token or t.suffix):
+                self.tokens.add_word(body if body == token else body[:-1] + self._closing(body[-1]), (i, len(body)))
+        self.tokens.make_automaton()
+        self.names = t.names
+        self.forget()
+
+    @staticmethod
+    def _closing(symbol: str) -> str:
+        return chr(0xF0000 + ord(symbol))
+
+    def forget(self) -> None:
+        """Start the next word."""
+        self.given = -1  # the last token given; -1: none, or a symbol outside the vocabulary
+        self.path: list[tuple[int, int]] = [(-1, 0)]  # (last token, its length) of each prefix since then
+        self.recent = self.held = ""  # symbols searched last; symbols not yet searched
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The merge rules over a short list of symbols, best rank first, leftmost on ties."""
@@ -132,79 +151,95 @@ class Encoder:
             cut[-1] += self.t.suffix
         return cut
 
-    def _fits(self, left: str | None, token: str) -> bool:
+    def _fit(self, left: int, token: int) -> bool:
         """Whether token can stand after left: the two together encode to just these two."""
-        key = (left or "", token)
-        if key not in self.pair_ok:
-            if len(self.pair_ok) > CACHE:
-                self.pair_ok.clear()
-            self.pair_ok[key] = self.merge((self._split(left) if left else []) + self._split(token)) == ([left] if left else []) + [token]
-        return self.pair_ok[key]
-
-    def stream(self, symbols: Iterable[str]) -> Iterator[int]:
-        """Ids of one word, each given as soon as no later symbol can change it."""
-        vocab, longest, suffix = self.t.vocab, self.t.longest, self.t.suffix
-        text = ""  # the symbols after the last given token
-        last: list[str | None] = [None]  # last[i]: the last token of text[:i]
-        given: str | None = None
-
-        def token_at(end: int, close: str) -> str:
-            for start in range(max(0, end - longest), end):
-                token = text[start:end] + close
-                if token in vocab and (start == 0 or last[start] is not None) and self._fits(last[start] if start else given, token):
-                    return token
-            return text[end - 1 : end] + close  # a symbol outside the vocabulary
-
-        def size(token: str, close: str) -> int:
-            return len(token) - len(close)
-
-        it = iter(symbols)
-        held = next(it, None)
-        while held is not None:
-            following = next(it, None)
-            text += held
-            end = len(text)
-            if following is None:
-                path, token, at = [], token_at(end, suffix), end
-                path.append(token)
-                at -= size(token, suffix)
-                while at:
-                    path.append(last[at])
-                    at -= len(last[at])
-                yield from (vocab[x] for x in reversed(path) if x in vocab)
-                return
-            last.append(token_at(end, ""))
-            if end >= 2 * longest and end % longest == 0:
-                live = set(range(end - longest + 1, end + 1))
-                while len(live) > 1:
-                    top = max(live)
-                    live.remove(top)
-                    live.add(top - len(last[top]))
-                meet = live.pop()
-                if meet:
-                    path, at = [], meet
-                    while at:
-                        path.append(last[at])
-                        at -= len(last[at])
-                    given = path[0]
-                    yield from (vocab[x] for x in reversed(path) if x in vocab)
-                    text, last = text[meet:], [None, *last[meet + 1 :]]
-            held = following
-
-    def word(self, symbols: str) -> tuple[int, ...]:
-        """Ids of one word of byte symbols."""
-        if (ids := self.word_ids.get(symbols)) is None:
-            if len(symbols) > WINDOW:
-                return tuple(self.stream(symbols))
-            cut = list(symbols)
-            cut[-1] += self.t.suffix
-            ids = tuple(self.t.vocab[x] for x in self.merge(cut) if x in self.t.vocab)
-            if len(self.word_ids) > CACHE:
-                self.word_ids.clear()
-            self.word_ids[symbols] = ids
-        return ids
+        names = [self.names[i] for i in (left, token) if i >= 0]
+        if len(self.fits) >= FITS:
+            self.fits.clear()
+        made = self.fits[left << 24 | token] = self.merge([c for n in names for c in self._split(n)]) == names
+        return made
+
+    def _step(self, symbols: str) -> None:
+        """The last token of each prefix that these further symbols make; of the tokens that end at a place the longest come first."""
+        path, fit, base = self.path, self.fits.get, len(self.path)
+        before = self.recent[-min(base - 1, self.t.longest) :] if base > 1 else ""
+        shift = base - len(before)  # from a place in what is searched to the prefix that ends there
+        for at, (token, size) in self.tokens.iter(before + symbols):
+            end = at + shift
+            if end < len(path):
+                continue
+            while len(path) < end:  # no token ends at these symbols
+                path.append((-1, 1))
+            start = end - size
+            if start < 0:
+                continue
+            left = path[start][0] if start else self.given
+            if ok if (ok := fit(left << 24 | token)) is not None else self._fit(left, token):
+                path.append((token, size))
+        path.extend([(-1, 1)] * (base + len(symbols) - len(path)))
+        self.recent = (before + symbols)[-self.t.longest :]
+
+    def _leave(self, meet: int) -> list[int]:
+        """The ids of the path up to meet, which go."""
+        out, at = [], meet
+        while at:
+            out.append(self.path[at][0])
+            at -= self.path[at][1]
+        self.given = self.path[meet][0]
+        self.path = [(-1, 0), *self.path[meet + 1 :]]
+        return [i for i in reversed(out) if i >= 0]
+
+    def _meeting(self) -> int:
+        """The last place through which the path of every prefix that a later token may follow goes."""
+        end, longest = len(self.path) - 1, self.t.longest
+        live = set(range(max(0, end - longest + 1), end + 1))
+        while len(live) > 1:
+            top = max(live)
+            live.remove(top)
+            live.add(top - self.path[top][1])
+        return live.pop()
+
+    def _stable(self) -> int:
+        """The place up to which tokens may leave: where paths meet, or what the merge list's own bound decides."""
+        end, longest, lookahead = len(self.path) - 1, self.t.longest, self.t.lookahead
+        meet = self._meeting() if end >= 2 * longest else 0
+        if not meet and end > lookahead:
+            meet = end
+            while meet > end - lookahead:
+                meet -= self.path[meet][1]
+        return meet
+
+    def feed(self, symbols: str) -> list[int]:
+        out, longest = [], self.t.longest
+        self.held += symbols
+        while len(self.held) > longest:
+            self._step(self.held[:longest])
+            self.held = self.held[longest:]
+            if meet := self._stable():
+                out += self._leave(meet)
+        return out
+
+    def close(self) -> list[int]:
+        if self.held:
+            self._step(self.held[:-1] + self._closing(self.held[-1]) if self.t.suffix else self.held)
+        out = self._leave(len(self.path) - 1)
+        self.forget()
+        return out
+
+    def word(self, symbols: str) -> list[int]:
+        return [*self.feed(symbols), *self.close()]
 
-    def _words(self, plain: str) -> Iterator[str]:
+
+class Encoder:
+    """Texts to ids by way of their words, all of which go through the transducer."""
+
+    def __init__(self, path: str):
+        self.t = tables(path)
+        self.transducer = Transducer(self.t)
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.library = None
+
+    def words(self, plain: str) -> Iterator[str]:
         """Byte-symbol words of text without added tokens."""
         if self.t.normal and max(map(ord, plain), default=0) >= AGREED:  # case and letters as the library's own Unicode tables have them
             from .token_binary import load_tokenizer
@@ -219,53 +254,62 @@ class Encoder:
                 plain = plain.lower() if "\u03a3" not in plain else "".join(c.lower() for c in plain)
             else:
                 plain = pattern.sub(content, plain)
-        for w in self.t.words.findall(plain):
+        for found in self.t.words.finditer(plain):
+            w = found.group()
             yield w if w.isascii() and w.isprintable() and " " not in w else w.encode().decode("latin-1").translate(self.symbols)
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text or a piece of one."""
-        out: list[int] = []
+    def stream(self, text: str) -> Iterator[int]:
+        """Ids of a text or a piece of one, word by word."""
         at = 0
         for found in self.t.added_split.finditer(text) if self.t.added else ():
-            for w in self._words(text[at : found.start()]):
-                out.extend(self.word(w))
-            out.append(self.t.added[found.group()])
+            for w in self.words(text[at : found.start()]):
+                yield from self.transducer.word(w)
+            yield self.t.added[found.group()]
             at = found.end()
-        for w in self._words(text[at:] if at else text):
-            out.extend(self.word(w))
-        return out
+        for w in self.words(text[at:] if at else text):
+            yield from self.transducer.word(w)
+
+    def encode(self, text: str) -> list[int]:
+        return list(self.stream(text))
 
 
 class Decoder:
-    """Ids to text, bit by bit: feed() gives what is complete, close() the rest."""
+    """Ids to text, block by block: feed() gives what is complete, close() the rest."""
 
     def __init__(self, path: str):
         self.t = tables(path)
-        self.byte_of = {s: i for i, s in enumerate(byte_symbols())}
+        byte_of = {s: i for i, s in enumerate(byte_symbols())}
+        raw = [b""] * (max(self.t.names, default=-1) + 2)  # one more for ids that have no token
+        for i, name in self.t.names.items():
+            raw[i] = b" " + name.encode() if self.t.decoder is None else bytes(map(byte_of.get, name)) if all(c in byte_of for c in name) else name.encode()
+        self.raw = pa.array(raw, pa.binary())
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
-        self.started = False
-
-    def feed(self, token_id: int) -> str:
-        name = self.t.names.get(token_id)
-        if name is None:
-            return ""
-        if self.t.decoder is None:
-            out, self.started = (" " if self.started else "") + name, True
-            return out
-        if all(c in self.byte_of for c in name):
-            raw = bytes(self.byte_of[c] for c in name)
-        else:
-            raw = name.encode()
+        self.started = self.t.decoder is not None
+
+    def bytes_of(self, ids: np.ndarray) -> tuple[np.ndarray, memoryview]:
+        """(offsets, bytes) of the ids' tokens."""
+        made = self.raw.take(pa.array(np.minimum(ids.astype(np.int64), len(self.raw) - 1)))
+        _, offsets, data = made.buffers()
+        return np.frombuffer(offsets, np.int32, len(made) + 1), memoryview(data) if data else memoryview(b"")
+
+    def feed_bytes(self, raw: memoryview | bytes) -> str:
+        """The next tokens' bytes; where tokens are joined by spaces, each brings one, and a text's first goes."""
+        if len(raw) and not self.started:
+            raw, self.started = raw[1:], True
         return self.machine.decode(raw)
 
+    def feed(self, ids: Iterable[int] | int) -> str:
+        offsets, data = self.bytes_of(np.atleast_1d(np.asarray(ids, np.int64)))
+        return self.feed_bytes(data[offsets[0] : offsets[-1]])
+
     def close(self) -> str:
-        rest = self.machine.decode(b"", True) if self.t.decoder else ""
+        rest = self.machine.decode(b"", True)
         self.machine.reset()
-        self.started = False
+        self.started = self.t.decoder is not None
         return rest
 
     def decode(self, ids: Iterable[int]) -> str:
-        return "".join([*map(self.feed, ids), self.close()])
+        return self.feed(list(ids)) + self.close()
 
 
 @lru_cache(maxsize=4)
@@ -273,97 +317,82 @@ def tables(path: str) -> Tables:
     return Tables(path)
 
 
-def worker_coder(path: str) -> PieceCoder:
-    """One coder a Python worker, so that what it remembers outlives a task."""
-    return common.held_by_worker(("piece coder", path), lambda: PieceCoder(path))
-
-
-class PieceCoder:
-    """What a text's digest needs, remembered for each piece between ASCII white space."""
+class Coder:
+    """Blocks of texts to ids, and ids to text, as a worker does it."""
 
     def __init__(self, path: str):
         self.encoder, self.decoder = Encoder(path), Decoder(path)
-        t = self.encoder.t
-        self.by_piece = t.drops_space and t.decoder is None
-        self.lowers = any(step["type"] == "Lowercase" for step in t.normal)
-        self.known, self.cores = Known(self._of_piece, PIECES), Known(self._of_core, PIECES)
-
-    def _of_core(self, core: bytes) -> tuple[bytes, bytes, int]:
-        ids = self.encoder.encode(core.decode("utf-8", "surrogatepass"))
-        return " ".join(map(str, ids)).encode(), self.decoder.decode(ids).encode(), len(ids)
-
-    def _of_piece(self, piece: bytes) -> tuple[bytes, bytes, int]:
-        """ASCII case plays no part, and ASCII punctuation after a letter is a word of its own (see token_binary)."""
-        if piece.isalpha():  # of bytes: ASCII letters
-            return self.cores[piece.lower() if self.lowers else piece]
-        core = piece.rstrip(b".,;:!?*%$&#|")
-        if b"<" in piece or b">" in piece or not core or not 97 <= core[-1] | 32 <= 122:
-            core = piece
-        tail = piece[len(core) :]
-        if self.lowers and b"<" not in core and core.isascii():
-            core = core.lower()
-        if not tail:
-            return self.cores[core]
-        (a, b, m), (c, d, n) = self.cores[core], self.cores[tail]
-        return a + b" " + c, b + b" " + d, m + n
-
-    def digest(self, text: bytes | None) -> tuple[int, str, str]:
-        """n_tokens, sha256 of the decimal ids joined by a space, sha256 of the decoded text, of a UTF-8 text."""
-        if not self.by_piece:
-            ids = self.encoder.encode((text or b"").decode("utf-8", "surrogatepass"))
-            return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(self.decoder.decode(ids).encode()).hexdigest()
-        n, ids_sha, text_sha, first = 0, hashlib.sha256(), hashlib.sha256(), True
-        pieces, of = (text or b"").split(), self.known.__getitem__
-        for at in range(0, len(pieces), 4096):
-            made = [m for m in map(of, pieces[at : at + 4096]) if m[2]]
-            if made:
-                a, b, c = zip(*made, strict=True)
-                gap = b"" if first else b" "
-                ids_sha.update(gap + b" ".join(a))
-                text_sha.update(gap + b" ".join(b))
-                n, first = n + sum(c), False
-        return n, ids_sha.hexdigest(), text_sha.hexdigest()
-
-
-def worker_pieces(path: str) -> Known:
-    """Packed ids of pieces and their decoded text, remembered by a worker; of tokenizers that drop white space."""
-
-    def made() -> Known:
-        encoder, decoder = Encoder(path), Decoder(path)
-
-        def learn(piece: bytes) -> tuple[bytes, str]:
-            ids = encoder.encode(piece.decode("utf-8", "surrogatepass"))
-            return array("i", ids).tobytes(), decoder.decode(ids)
-
-        return Known(learn, PIECES // 2)
-
-    return common.held_by_worker(("pieces", path), made)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        self.pieces = Pieces(self._encode, np.dtype(np.int32), lowers(told), CORES) if by_piece(told) else None
+        #: Decimal ids, each after a space.
+        self.decimal = pa.array([b" %d" % i for i in range(len(self.decoder.raw))], pa.binary())
+
+    def _encode(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        each = [self.encoder.encode(c.decode("utf-8", "replace")) for c in cores]
+        return np.fromiter(map(len, each), np.int64, len(each)), np.fromiter((i for e in each for i in e), np.int32)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+        """Blocks of (first row, ids of each row, all ids, whether the last row goes on in the next block)."""
+        if self.pieces:
+            for first, some, more in blocks(texts):
+                yield first, *self.pieces.ids(some), more
+            return
+        for at, text in enumerate(pc.fill_null(texts, "").to_pylist()):
+            ids = np.fromiter(self.encoder.stream(text), np.int32)
+            yield at, np.array([len(ids)]), ids, False
+
+    def digests(self, texts: pa.Array) -> Iterator[tuple[int, str, str]]:
+        """n_tokens, sha256 of the decimal ids joined by a space, sha256 of the decoded text, of each text."""
+        decoder, n, ids_sha, text_sha = self.decoder, 0, hashlib.sha256(), hashlib.sha256()
+        for _, sizes, flat, more in self.encode(texts):
+            ends = np.cumsum(sizes).tolist()
+            told = self.decimal.take(pa.array(flat))
+            numbers, digits = np.frombuffer(told.buffers()[1], np.int32, len(told) + 1).tolist() if len(flat) else [0], memoryview(told.buffers()[2] or b"")
+            offsets, data = decoder.bytes_of(flat)
+            offsets = offsets.tolist()
+            for i, (start, end) in enumerate(zip([0, *ends], ends)):
+                if end > start:
+                    ids_sha.update(digits[numbers[start] + (n == 0) : numbers[end]])
+                    text_sha.update(decoder.feed_bytes(data[offsets[start] : offsets[end]]).encode())
+                    n += end - start
+                if more and i == len(ends) - 1:
+                    continue
+                text_sha.update(decoder.close().encode())
+                yield n, ids_sha.hexdigest(), text_sha.hexdigest()
+                n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+
+    def outputs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, str]]:
+        """The ids and the decoded text of each text."""
+        held, text = [], []
+        for _, sizes, flat, more in self.encode(texts):
+            for i, ids in enumerate(np.split(flat, np.cumsum(sizes)[:-1])):
+                held.append(ids)
+                text.append(self.decoder.feed(ids))
+                if not (more and i == len(sizes) - 1):
+                    yield np.concatenate(held), "".join([*text, self.decoder.close()])
+                    held, text = [], []
+
+
+def worker_coder(path: str) -> Coder:
+    """One coder a Python worker, so that what it remembers outlives a task."""
+    return common.held_by_worker(("coder", path), lambda: Coder(path))
 
 
 def encode_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids (array of int), decoded: the real outputs for every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(tokenizer_path), Decoder(tokenizer_path)
-        by_piece = encoder.t.drops_space and decoder.t.decoder is None
+        coder = worker_coder(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                texts = [t or b"" for t in rows.column(1).to_pylist()]
-                if by_piece:
-                    of = worker_pieces(tokenizer_path).__getitem__
-                    each = [[m for m in map(of, t.split()) if m[1]] for t in texts]
-                    flat = [np.frombuffer(b"".join([m[0] for m in e]), np.int32) for e in each]
-                    decoded = [" ".join([m[1] for m in e]) for e in each]
-                else:
-                    plain = [encoder.encode(t.decode("utf-8", "surrogatepass")) for t in texts]
-                    flat, decoded = [np.array(x, np.int32) for x in plain], [decoder.decode(x) for x in plain]
-                ends = np.cumsum([0, *map(len, flat)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *flat])))
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
+                each, decoded = zip(*coder.outputs(rows.column(1)), strict=True)
+                ends = np.cumsum([0, *map(len, each)])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(each)))
                 yield pa.record_batch([rows.column(0), pa.array(np.diff(ends)), ids, pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
-    raw = common.id_text(docs).withColumn(common.TEXT, F.col(common.TEXT).cast("binary"))
-    return raw.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded string")
+    return common.id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def digest_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -373,11 +402,10 @@ def digest_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         coder = worker_coder(tokenizer_path)
         for batch in batches:
             if batch.num_rows:
-                n, a, b = zip(*map(coder.digest, batch.column(1).to_pylist()), strict=True)
+                n, a, b = zip(*coder.digests(batch.column(1)), strict=True)
                 yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    raw = common.id_text(docs).withColumn(common.TEXT, F.col(common.TEXT).cast("binary"))
-    return raw.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return common.id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe(spark, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID, TEXT = "doc_id", "text"
-#: Bytes of input that one task should handle when an operator deals rows out anew.
-TASK_BYTES = 16 << 20
+#: Bytes of input, as its files hold it, that one task should handle when an operator deals rows out anew.
+TASK_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,6 +50,12 @@ def unstage(df: DataFrame) -> None:
         remove(df.sparkSession, files[0].rpartition("/")[0])
 
 
+def tasks_for(df: DataFrame, each: int = TASK_BYTES) -> int:
+    """How many tasks df's input is worth, by the optimiser's estimate of its size; 1 where it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(-(-size // each), 200_000)) if size < 1 << 60 else 1
+
+
 def open_fs(path: str):
     """(pyarrow file system, path in it) for a shared folder's URI or a plain path."""
     from pyarrow import fs
