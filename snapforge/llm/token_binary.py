@@ -11,12 +11,15 @@ shard gives sequence i without a copy (``sequence(i)``). Beside it lies ``<shard
 (doc_id, start, n_tokens), start within the shard. Shards are ordered; the manifest adds the ids of all earlier shards.
 
 Nulls: a null text is an empty document (just the end id); rows with a null doc_id come first, as Spark sorts them. Repeated
-rows and ids are all kept; rows of one doc_id are ordered by text, so equal inputs give equal ids. An empty table
+rows and ids are all kept; rows of one doc_id are ordered by a hash of their text, so equal inputs give equal ids (but for texts
+of one doc_id whose 64-bit hashes collide). An empty table
 gives no shard and no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,18 +27,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .pieces import CORES, Pieces, blocks, by_piece, lowers
 
 SEQUENCE_LENGTH = 1024
 #: Sequences in one record batch.
 BATCH_SEQUENCES = 256
-#: Distinct pieces between white space, and bare cores of them, whose ids a worker remembers.
-CACHE, CORES = 600_000, 500_000
-#: Pieces that are looked up together, and new cores that go to the library in one call.
-TOGETHER, JOINED = 100_000, 10_000
+#: New cores that go to the library in one call.
+JOINED = 10_000
+#: Texts that go to the library in one call where pieces play no part.
+WHOLE = 64
 MANIFEST = "shard int, path string, n_tokens long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -56,117 +61,48 @@ def worker_encoder(path: str) -> LibraryEncoder:
 
 
 class LibraryEncoder:
-    """Whole texts to ids with the tokenizers library, remembering the ids of the pieces between ASCII white space.
-
-    With tokenizers whose pre-tokeniser drops white space, no token, normalisation or added token reaches across
-    a piece's end, so a text's ids are its pieces' ids in order. For other tokenizers whole texts are encoded.
-    """
-
-    def __init__(self, path: str, pieces: int = CACHE, cores: int = CORES):
-        import json
+    """Whole texts to ids with the tokenizers library: by pieces where the tokenizer's splitting expression allows it (see pieces), else text by text."""
 
+    def __init__(self, path: str, cores: int = CORES):
         self.tokenizer = load_tokenizer(path)
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
-        pre = told.get("pre_tokenizer") or {}
-        self.lowers = '"Lowercase"' in json.dumps(told.get("normalizer"))
-        kinds = pre.get("pretokenizers", [pre])
-        self.by_piece = any(k.get("type") == "Split" and k.get("behavior") == "Removed" and k.get("invert") for k in kinds)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        #: Packed ids of whole pieces, and of pieces without case and closing punctuation.
-        self.known, self.cores, self.pieces, self.most = {}, {}, pieces, cores
-        #: An added token that parts cores in one call, as no core of that call has its first letter; no other option of it applies.
-        plain = (t for t in told.get("added_tokens", []) if t["content"].startswith("<") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]))
-        self.mark = next(((t["content"].encode(), t["id"]) for t in plain), None)
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, self.width).tobytes()
-
-    def _whole(self, text: bytes) -> bytes:
-        return self._pack(self.tokenizer.encode_batch_fast([text.decode("utf-8", "surrogatepass")], add_special_tokens=False)[0].ids)
-
-    def _encode(self, cores: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Each core with its packed ids; the library goes over many at once."""
-        alone = [c for c in cores if b"<" in c or b">" in c] if self.mark else cores
-        yield from zip(alone, map(self._whole, alone), strict=True)
-        rest = [c for c in cores if b"<" not in c and b">" not in c] if self.mark else []
-        for at in range(0, len(rest), JOINED):
-            some = rest[at : at + JOINED]
-            text, mark_id = self.mark[0].join(some).decode("utf-8", "surrogatepass"), self.mark[1]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
-            marks = np.flatnonzero(ids == mark_id)
-            if len(marks) != len(some) - 1:
-                raise ValueError("the tokenizer's added token doesn't part pieces")
-            packed, size = ids.tobytes(), self.width.itemsize
-            yield from zip(some, map(packed.__getitem__, map(slice, [0, *((marks + 1) * size).tolist()], [*(marks * size).tolist(), len(packed)])), strict=True)
-
-    def _parts(self, piece: bytes) -> tuple[bytes, bytes]:
-        """A piece's core and tail, whose ids in order are its own.
-
-        Case plays no part in ASCII where the tokenizer lower-cases, and ASCII punctuation after a letter is a word of its own; an
-        apostrophe may start a word with letters, and a bracket may belong to an added token.
-        """
-        if piece.isalpha():  # of bytes: ASCII letters
-            return piece.lower() if self.lowers else piece, b""
-        if b"<" in piece or b">" in piece:
-            return piece, b""
-        core = piece.rstrip(b".,;:!?*%$&#|")
-        if not core or not 97 <= core[-1] | 32 <= 122:
-            return piece.lower() if self.lowers and piece.isascii() else piece, b""
-        tail = piece[len(core) :]
-        return core.lower() if self.lowers and core.isascii() else core, tail
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        """Make the ids of these pieces known; what was known before goes when there is no room."""
-        if len(self.known) + len(pieces) > self.pieces:
-            self.known.clear()
-        parts = list(map(self._parts, pieces))
-        wanted = {x for part in parts for x in part if x}.difference(self.cores)
-        if len(self.cores) + len(wanted) > self.most:
-            self.cores.clear()
-            wanted = {x for part in parts for x in part if x}
-        self.cores.update(self._encode(list(wanted)))
-        of = self.cores
-        self.known.update(zip(pieces, [of[core] + of[tail] if tail else of[core] for core, tail in parts], strict=True))
-
-    def _joined(self, groups: list[list[bytes]]) -> list[bytes]:
-        """The packed ids of each list of pieces."""
-        pieces = set().union(*groups)
-        if new := pieces.difference(self.known):
-            # after a clearing, pieces that were known are wanted too
-            self._learn(new if len(self.known) + len(new) <= self.pieces else pieces)
-        of = self.known.__getitem__
-        return [b"".join(map(of, g)) for g in groups]
-
-    def encode_batch(self, texts: list[bytes]) -> list[bytes]:
-        """The packed ids of each UTF-8 text; pieces are looked up a bounded number at a time, long texts in several goes."""
-        if not self.by_piece:
-            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False)]
-        out, groups, held = [], [], 0
-        for text in texts:
-            pieces = text.split()
-            if held + len(pieces) > TOGETHER:
-                out += self._joined(groups)
-                groups, held = [], 0
-            if len(pieces) > TOGETHER:
-                out.append(b"".join(x for at in range(0, len(pieces), TOGETHER) for x in self._joined([pieces[at : at + TOGETHER]])))
-            else:
-                groups.append(pieces)
-                held += len(pieces)
-        return out + self._joined(groups)
-
-
-class Known(dict):
-    """What make gives for each key, remembered for up to most keys."""
-
-    def __init__(self, make, most: int = CACHE):
-        self.make, self.most = make, most
-
-    def __missing__(self, key: bytes):
-        if len(self) >= self.most:
-            self.clear()
-        made = self[key] = self.make(key)
-        return made
+        #: An added token that parts cores in one call, as no core of that call holds a bracket.
+        self.mark = next(((t["content"].encode(), t["id"]) for t in told.get("added_tokens", [])), None)
+        self.pieces = Pieces(self._encode, self.width, lowers(told), cores) if self.mark and by_piece(told) else None
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each core has, and all of them; the library goes over many at once."""
+        sizes, flat = [], []
+        for bracket, run in itertools.groupby(cores, lambda c: b"<" in c or b">" in c):
+            run = list(run)
+            for at in range(0, len(run), 1 if bracket else JOINED):
+                some = run[at : at + (1 if bracket else JOINED)]
+                (ids,) = self._ids([(b"" if bracket else self.mark[0]).join(some).decode("utf-8", "replace")])
+                if bracket:
+                    sizes.append(np.array([len(ids)]))
+                    flat.append(ids)
+                    continue
+                marks = np.flatnonzero(ids == self.mark[1])
+                if len(marks) != len(some) - 1:
+                    raise ValueError("the tokenizer's added token doesn't part pieces")
+                sizes.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
+                flat.append(np.delete(ids, marks))
+        return np.concatenate(sizes), np.concatenate(flat)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+        """Blocks of (first row, ids of each row, all ids, whether the last row goes on in the next block)."""
+        if self.pieces:
+            for first, some, more in blocks(texts):
+                yield first, *self.pieces.ids(some), more
+            return
+        for at in range(0, len(texts), WHOLE):
+            each = self._ids(pc.fill_null(texts.slice(at, WHOLE), "").to_pylist())
+            yield at, np.array([len(e) for e in each]), np.concatenate(each), False
 
 
 class ShardWriter:
@@ -178,6 +114,7 @@ class ShardWriter:
         if sequence_length % 8:
             raise ValueError("sequence_length must be a multiple of 8")
         self.length, self.width, self.pending, self.held, self.total, self.docs = sequence_length, width, [], 0, 0, 0
+        self.opened: int | None = None  # where the document that goes on has begun
         kind = pa.from_numpy_dtype(width)
         self.schema = pa.schema([("input_ids", pa.list_(pa.field("item", kind, False), sequence_length)), ("mask", pa.list_(pa.field("item", pa.uint8(), False), sequence_length // 8))])
         self.sink = self.fs.open_output_stream(self.path, compression=None)
@@ -185,17 +122,25 @@ class ShardWriter:
         self.index_sink = self.fs.open_output_stream(f"{self.path}.index", compression=None)
         self.index = pa.ipc.new_stream(self.index_sink, INDEX)
 
-    def add(self, ids: list[int | None], packed: list[bytes]) -> None:
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.width.itemsize
+    def add(self, doc_ids: pa.Array, sizes: np.ndarray, flat: np.ndarray, end_id: int, more: bool = False) -> None:
+        """Documents' ids, an end id after each; with more, the last one goes on in the next call."""
+        closed = len(sizes) - more
+        flat = np.insert(flat, np.cumsum(sizes)[:closed], end_id)
+        sizes = sizes[:closed] + 1
         ends = self.total + np.cumsum(sizes)
-        self.index.write_batch(pa.record_batch([pa.array(ids, pa.int64()), pa.array(ends - sizes), pa.array(sizes)], schema=INDEX))
-        self.docs += len(ids)
-        for one, n in zip(packed, sizes.tolist(), strict=True):
-            self.pending.append(one)
-            self.held += n
-            self.total += n
-            if self.held >= self.length * BATCH_SEQUENCES:
-                self._flush()
+        starts = np.concatenate([[self.opened if self.opened is not None else self.total], ends])[:closed].astype(np.int64)
+        if closed:
+            self.index.write_batch(pa.record_batch([doc_ids.slice(0, closed), pa.array(starts), pa.array(ends - starts)], schema=INDEX))
+        if more and (closed or self.opened is None):
+            self.opened = int(ends[-1]) if closed else self.total
+        elif not more:
+            self.opened = None
+        self.docs += closed
+        self.total += len(flat)
+        self.held += len(flat)
+        self.pending.append(flat.astype(self.width).tobytes())
+        if self.held >= self.length * BATCH_SEQUENCES:
+            self._flush()
 
     def _flush(self, last: bool = False) -> None:
         flat = np.frombuffer(b"".join(self.pending), self.width)
@@ -269,27 +214,27 @@ class Sequences:
 def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 2, sequence_length: int = SEQUENCE_LENGTH, shards: int | None = None) -> DataFrame:
     """Encode all documents into shards under out_dir and return the manifest (shard, path, n_tokens, n_docs).
 
-    One range shuffle by doc_id carries the texts; a shard is written by one task, under a name of its
-    own for each attempt, so a task that ran twice leaves an unused file and never a broken one. The manifest has
-    a row a shard; it is all that the driver sees.
+    One range shuffle carries the texts: by doc_id, then a hash of the text, then the row's place in the input, so no repeated or
+    missing doc_id has to go to one task; shards are TASK_BYTES of input each, or shuffle.partitions if that is more. A shard
+    is written by one task, under a name of its own for each attempt, so a task that ran twice leaves an unused file and
+    never a broken one. The manifest has a row a shard; it is all that the driver sees.
     """
     spark = docs.sparkSession
-    part = common.id_text(docs).withColumn(common.TEXT, F.col(common.TEXT).cast("binary"))
-    ordered = part.repartitionByRange(shards or int(spark.conf.get("spark.sql.shuffle.partitions")), common.ID).sortWithinPartitions(common.ID, common.TEXT)
+    rows = common.id_text(docs).select(common.ID, F.xxhash64(common.TEXT).alias("digest"), F.monotonically_increasing_id().alias("place"), common.TEXT)
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), common.tasks_for(docs))
+    ordered = rows.repartitionByRange(shards, common.ID, "digest", "place").sortWithinPartitions(common.ID, "digest", "place").select(common.ID, common.TEXT)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder, writer = worker_encoder(tokenizer_path), None
-        end = np.asarray([end_id], encoder.width).tobytes()
         shard = TaskContext.get().partitionId()
         path = f"{out_dir}/part-{shard:06d}-{uuid.uuid4().hex}.arrows"
         for batch in batches:
             if batch.num_rows:
                 writer = writer or ShardWriter(path, encoder.width, sequence_length)
-                for at in range(0, batch.num_rows, 512):
-                    rows = batch.slice(at, 512)
-                    writer.add(rows.column(0).to_pylist(), [x + end for x in encoder.encode_batch([t or b"" for t in rows.column(1).to_pylist()])])
+                for first, sizes, flat, more in encoder.encode(batch.column(1)):
+                    writer.add(batch.column(0).slice(first, len(sizes)), sizes, flat, end_id, more)
         if writer:
             writer.close()
             yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([path]), pa.array([writer.total]), pa.array([writer.docs])], names=["shard", "path", "n_tokens", "n_docs"])
