@@ -29,3 +29,14 @@ def ahead(c: Column, by: int, size: Column) -> Column:
 def joined(a: Column, b: Column) -> Column:
     """A hash for each pair of neighbours in two arrays."""
     return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
+
+
+def running(values: Column, combine=lambda a, b: a + b, neutral: Column | None = None) -> Column:
+    """What combine makes of each entry and all before it, in log n passes over the array; neutral changes nothing."""
+    neutral = F.lit(0) if neutral is None else neutral
+
+    def step(held: Column, k: Column) -> Column:
+        before = F.slice(F.concat(F.array_repeat(neutral, F.call_function("shiftleft", F.lit(1), k)), held), F.lit(1), F.size(held))
+        return F.zip_with(held, before, combine)
+
+    return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size(values).cast("long"))) - 1), values, step)

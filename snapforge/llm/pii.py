@@ -2,30 +2,34 @@
 
 Generators. One expression a kind finds the contract's base matches; broader ones propose spans that may overlap them: spelled-out
 addresses, hexadecimal internet addresses, digit groups in the shape of a card, national phone numbers. Every candidate gets format
-features (digits, separators, checksum) and context features (a telling word before it, what it touches).
+features (digits, separators, checksum, ending) and context features (telling words before it, counting words and units beside it,
+what it touches).
 
-Trees. The base generators' candidates are labelled by their checks; the broader ones' aren't. The features are small integers, so the
-labelled ones enter the training as the counts of their feature vectors, a table bounded by the features' ranges that
-comes to the driver. Boosted trees of depth two are fitted to it on
-logistic loss, and go back into the plan as CASE expressions. Each kind's threshold is the least score at which
-the selected candidates' calibrated share of true ones reaches PRECISION. Base spans always stay; a broader candidate
-over the threshold is added where it overlaps none of them.
+Trees. No table tells what is personal data, so the trees learn from EXAMPLES texts that ``examples`` makes in the same plan: for each
+kind true ones and near misses (wrong check digits, hardware addresses, amounts, part numbers, clock times), both in telling and in
+misleading contexts. They go through the same generators. The features are small integers, so they enter the training as the counts
+of their feature vectors, a table bounded by EXAMPLES that comes to the driver. Boosted trees of depth two are fitted to one
+half of it on logistic loss, and go back into the plan as CASE expressions. Each kind's threshold is the least score from
+which on the other half, unseen by the trees, is true to PRECISION. Base spans always stay; a broader candidate over the
+threshold is added where it overlaps none of them.
 
 The expressions repeat groups possessively, which changes no match (what follows a repeat can't begin inside it) but keeps the
-engine from recursing on long texts; a match may begin only where a run begins or the previous match ended.
+engine from recursing on long texts; a match may begin only where a run begins or the previous match ended. Places are running
+totals in log n passes, so a text of n characters takes n log n time.
 
-Nulls: a null text is empty and has no spans. Repeated rows are all returned. An empty table gives no rows and leaves
-the trees empty. Other columns are ignored.
+Nulls: a null text is empty and has no spans. Repeated rows are all returned. An empty table gives no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from .arrays import running
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's expressions, in possessive form.
@@ -51,26 +55,28 @@ CONTEXT = {
     "card": r"(?i)(?:card|visa|master\w*|amex|pay\w*|account|number|nr|no)\W{0,3}$",
     "phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|contact|number|nr|at)\W{0,3}$",
 }
-BEFORE = 24
+#: Beside a match, these tell of something else: sums, versions, part numbers, measures.
+COUNTER_BEFORE = r"(?i)(?:[$€£#]|\b(?:eur|usd|gbp|isbn|issn|order|serial|version|part|batch|item|lot|article|total|sum|page|mac)\W{0,2})\s?$"
+COUNTER_AFTER = r"(?i)^\s?(?:[%$€£]|(?:eur|usd|gbp|kg|km|mm|pages?|units?|pieces|pcs|am|pm|o'clock)\b)"
+#: An address that ends in letters, as top-level domains do.
+ENDING = r"[A-Za-z]{2,24}$"
+BEFORE, AFTER = 24, 12
 #: Feature name and its largest value; all are integers from 0.
-FEATURES = (("kind", 3), ("digits", 20), ("separators", 4), ("luhn", 1), ("context", 1), ("touches", 1))
+FEATURES = (("kind", 3), ("digits", 20), ("separators", 8), ("luhn", 1), ("context", 1), ("counter", 1), ("ending", 1), ("touches", 1))
 TREES, RATE = 30, 0.3
 PRECISION = 0.9
-CANDIDATE = "struct<kind:int,start:int,end:int,base:boolean,digits:int,separators:int,luhn:int,context:int,plain:int,touches:int>"
+#: Made texts from which the trees learn, half of them for the thresholds.
+EXAMPLES = 3000
+CANDIDATE = "struct<kind:int,start:int,end:int,base:boolean,plain:int," + ",".join(f"{name}:int" for name, _ in FEATURES[1:]) + ">"
 
 
 def _located(pieces: Column, matches: Column) -> Column:
-    """(start, end, match, before) of matches, from the text's pieces between them; in code points."""
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string,before:string>>").alias("out"))
-
-    def step(held: Column, x: Column) -> Column:
-        begin = held["at"] + F.char_length(x["p"])
-        end = begin + F.char_length(x["m"])
-        one = F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("match"), F.substring(x["p"], -BEFORE, BEFORE).alias("before"))
-        return F.struct(end.alias("at"), F.array_append(held["out"], one).alias("out"))
-
-    return F.aggregate(pairs, start, step)["out"]
+    """(start, end, match, before, after) of matches, from the text's pieces between them; in code points."""
+    after = F.slice(pieces, F.lit(2), F.size(matches))
+    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.struct(F.char_length(p).alias("gap"), F.char_length(m).alias("size"), m.alias("match"), F.substring(p, -BEFORE, BEFORE).alias("before")))
+    pairs = F.zip_with(pairs, after, lambda x, p: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), x["match"].alias("match"), x["before"].alias("before"), F.substring(p, 1, AFTER).alias("after")))
+    ends = running(F.transform(pairs, lambda x: x["gap"] + x["size"]))
+    return F.zip_with(pairs, ends, lambda x, end: F.struct((end - x["size"]).alias("start"), end.alias("end"), x["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after")))
 
 
 def _digits(match: Column) -> Column:
@@ -102,18 +108,19 @@ def _valid(kind: str, match: Column) -> Column:
 def _candidate(kind: str, base: bool, x: Column) -> Column:
     digits = _digits(x["match"])
     n = F.char_length(digits)
-    plain = F.lit(1) if base else F.lit(0)
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"),
         x["start"].alias("start"),
         x["end"].alias("end"),
         (_valid(kind, x["match"]) if base else F.lit(False)).alias("base"),
+        F.lit(int(base)).alias("plain"),
         F.least(n, F.lit(20)).alias("digits"),
-        F.least(F.char_length(F.regexp_replace(x["match"], "[^\\x20.()/_:-]", "")), F.lit(4)).alias("separators"),
+        F.least(F.char_length(F.regexp_replace(x["match"], "[^\\x20.()/_:-]", "")), F.lit(8)).alias("separators"),
         F.when(n.between(12, 19), _luhn(digits).cast("int")).otherwise(0).alias("luhn"),
         x["before"].rlike(CONTEXT[kind]).cast("int").alias("context"),
-        plain.alias("plain"),
-        x["before"].rlike("[0-9A-Za-z]$").cast("int").alias("touches"),
+        (x["before"].rlike(COUNTER_BEFORE) | x["after"].rlike(COUNTER_AFTER)).cast("int").alias("counter"),
+        x["match"].rlike(ENDING).cast("int").alias("ending"),
+        (x["before"].rlike("[0-9A-Za-z]$") | x["after"].rlike("^[0-9A-Za-z]")).cast("int").alias("touches"),
     ).cast(CANDIDATE)
 
 
@@ -179,14 +186,18 @@ class Boosted:
             tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
         return tree[0]
 
-    def thresholds(self) -> list[float]:
-        """For each kind the least score at which the candidates from it on are true to PRECISION, by their counts."""
+    def value(self, x: tuple[int, ...]) -> float:
+        """The trees' sum for a feature vector."""
+        return sum(self._value(tree, x) for tree in self.trees)
+
+    def thresholds(self, rows: list[tuple[tuple[int, ...], int, int]]) -> list[float]:
+        """For each kind the least score at which the candidates of rows from it on are true to PRECISION, by their counts."""
         out = []
         for kind in range(len(KINDS)):
             by_score: dict[float, list[int]] = {}
-            for x, y, n in self.rows:
+            for x, y, n in rows:
                 if x[0] == kind:
-                    held = by_score.setdefault(self.score[x], [0, 0])
+                    held = by_score.setdefault(round(self.value(x), 9), [0, 0])
                     held[0] += n * y
                     held[1] += n
             least, true, total = math.inf, 0, 0
@@ -208,11 +219,61 @@ class Boosted:
         return total
 
 
-def train(found: DataFrame) -> Boosted:
-    """Trees from the base generators' candidates, whose label is their check: at most the product of the features' ranges rows come to the driver."""
-    c = found.select(F.explode("candidates").alias("c")).where("c.plain = 1")
-    counts = c.groupBy(*(F.col(f"c.{name}").alias(name) for name, _ in FEATURES), F.col("c.base").cast("int").alias("label")).count().collect()
-    return Boosted(sorted((tuple(r)[: len(FEATURES)], r["label"], r["count"]) for r in counts))
+def examples(spark: SparkSession, n: int = EXAMPLES, seed: int = 1) -> DataFrame:
+    """doc_id, text, kind, start, end, label: made texts with one true or false item each, by expressions over a range."""
+    h = lambda key, m: F.pmod(F.xxhash64(F.col("id"), F.lit(f"{seed} {key}")), F.lit(m))
+    pick = lambda key, *of: F.element_at(F.array(*(x if isinstance(x, Column) else F.lit(x) for x in of)), (h(key, len(of)) + 1).cast("int"))
+    number = lambda key, size: F.lpad(h(key, 10**size).cast("string"), size, "0")
+    hexes = lambda key, size: F.lpad(F.lower(F.hex(h(key, 16**size))), size, "0")
+    joined = lambda sep, *parts: F.concat_ws(sep, *parts)
+    name, host = pick("name", "anna.k", "j_doe", "info", "maria", "paul99", "sales"), pick("host", "mail", "example", "firm-x", "web")
+    at, dot = pick("at", " [at] ", "(at)", " (at) ", "{at}"), pick("dot", " [dot] ", "(dot)", ".", " (dot) ")
+    # a card number of 16 digits whose last one is the check digit, or up to 9 more
+    check = lambda body: (10 - F.aggregate(F.transform(F.split(body, ""), lambda c, i: F.when(i % 2 == 1, c.cast("int")).otherwise(c.cast("int") * 2 % 10 + F.floor(c.cast("int") / 5).cast("int"))), F.lit(0), lambda a, b: a + b) % 10) % 10
+    wrong = F.when(F.col("label") == 1, 0).otherwise(1 + h("wrong", 9).cast("int"))
+    sep = pick("sep", ".", "/", "_")
+    items = {
+        "email": (
+            joined("", name, at, host, dot, pick("tld", "com", "org", "de", "net")),
+            pick("no_email", F.concat(F.lit("meet (at) "), number("a", 2), F.lit("."), number("b", 2)), F.concat(F.lit("v[at]"), number("a", 1), F.lit("."), number("b", 1)), F.concat(F.lit("score {at} "), number("a", 1), F.lit("."), number("c", 3))),
+        ),
+        "ip": (joined(":", *(hexes(f"g{i}", 4) for i in range(8))), joined(":", *(hexes(f"m{i}", 2) for i in range(6)))),
+        "card": (F.col("card"),) * 2,
+        "phone": (
+            pick("phone", F.concat(F.lit("(0"), number("p1", 2), F.lit(") "), number("p2", 3), F.lit("-"), number("p3", 4)), F.concat(F.lit("0"), number("p1", 2), F.lit(" "), number("p2", 4), F.lit(" "), number("p3", 4)), F.concat(F.lit("0"), number("p1", 3), F.lit("/"), number("p2", 3), F.lit(" "), number("p3", 4))),
+            pick("no_phone", F.concat(number("q1", 2), F.lit(" 000 000")), F.concat(number("q1", 3), F.lit("-"), number("q2", 4), F.lit("-"), number("q3", 3)), F.concat(number("q1", 2), F.lit("."), number("q2", 3), F.lit("."), number("q3", 3))),
+        ),
+    }
+    telling = {"email": ("contact ", "mail to ", "write "), "ip": ("server ", "host ", "address "), "card": ("card ", "paid by visa ", "account "), "phone": ("call ", "phone ", "tel. ", "fax ")}
+    counting = ("a total of ", "part ", "order ", "version ", "serial ", "batch ", "mac ")
+    kind = (F.col("id") % 4).cast("int")
+    of_kind = lambda f: F.element_at(F.array(*(f(k) for k in KINDS)), kind + 1)
+    rows = spark.range(n).withColumn("label", h("label", 2).cast("int")).withColumn("body", F.substring(F.concat(pick("prefix", "4", "5", "37", "6011"), number("body", 15)), 1, 15))
+    rows = rows.withColumn("card", F.concat("body", ((check(F.col("body")) + wrong) % 10).cast("string"))).withColumn("sep", sep)
+    rows = rows.withColumn("card", F.regexp_replace(F.regexp_replace("card", "([0-9]{4})(?=[0-9])", "$1-"), F.lit("-"), F.col("sep")))
+    rows = rows.withColumn("item", of_kind(lambda k: F.when(F.col("label") == 1, items[k][0]).otherwise(items[k][1])))
+    true = F.col("label") == 1
+    said = lambda k: pick("tell", *telling[k])
+    # most true ones stand in a telling context and most false ones in a counting one, but some of either do not
+    lead = F.when(h("lead", 10) < F.when(true, 8).otherwise(1), of_kind(said)).when(h("lead", 10) < F.when(true, 9).otherwise(7), pick("plain", "then ", "and so ", "here ")).otherwise(pick("count", *counting))
+    lead = F.when(true & (h("lead", 10) == 9), F.lit("see ")).otherwise(lead)
+    tail = F.when(~true & (h("tail", 2) == 0), pick("unit", " EUR", " units", " kg", " pages")).otherwise(pick("end", ".", ", then on", " and more", ""))
+    rows = rows.withColumn("lead", F.concat(F.lit("Some words "), lead)).withColumn("tail", tail)
+    start = F.char_length("lead")
+    return rows.select(F.col("id").alias("doc_id"), F.concat("lead", "item", "tail").alias("text"), kind.alias("kind"), start.alias("start"), (start + F.char_length("item")).alias("end"), "label")
+
+
+def train(spark: SparkSession) -> tuple[Boosted, list[float]]:
+    """The trees, and each kind's threshold, from the broader generators' candidates in the made texts."""
+    made = common.stage(examples(spark), "examples")
+    told = made.select("doc_id", F.col("kind").alias("t_kind"), F.col("start").alias("t_start"), F.col("end").alias("t_end"), "label")
+    found = common.stage(candidates(made), "candidates").join(told, "doc_id").select("*", F.explode("candidates").alias("c")).where("c.plain = 0")
+    hit = (F.col("c.kind") == F.col("t_kind")) & (F.col("c.start") < F.col("t_end")) & (F.col("t_start") < F.col("c.end"))
+    y = F.when(hit, F.col("label")).otherwise(0)
+    counts = found.groupBy(*(F.col(f"c.{name}").alias(name) for name, _ in FEATURES), y.alias("y"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold")).count().collect()
+    rows = [sorted((tuple(r)[: len(FEATURES)], r["y"], r["count"]) for r in counts if r["fold"] == fold) for fold in (0, 1)]
+    model = Boosted(rows[0])
+    return model, model.thresholds(rows[1])
 
 
 def _told(spans: Column) -> Column:
@@ -220,24 +281,33 @@ def _told(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda c: F.concat(F.element_at(names, c["kind"] + 1), F.lit(":"), c["start"].cast("string"), F.lit(":"), c["end"].cast("string"))), ",")
 
 
+def _clear(base: Column, others: Column) -> Column:
+    """Those of the others that overlap no base span; by the furthest end of the base spans before each and the nearest start of those after it."""
+    event = lambda x, other: F.struct(x["start"].alias("start"), F.lit(other).alias("other"), x["end"].alias("end"), x["kind"].alias("kind"))
+    both = F.array_sort(F.concat(F.transform(base, lambda x: event(x, 0)), F.transform(others, lambda x: event(x, 1))))
+    far = F.lit((1 << 31) - 1)
+    ends = running(F.transform(both, lambda x: F.when(x["other"] == 0, x["end"]).otherwise(0)), lambda a, b: F.greatest(a, b))
+    starts = F.reverse(running(F.reverse(F.transform(both, lambda x: F.when(x["other"] == 0, x["start"]).otherwise(far))), lambda a, b: F.least(a, b), far))
+    told = F.zip_with(F.zip_with(both, ends, lambda x, e: F.struct(x.alias("x"), e.alias("e"))), starts, lambda y, s: F.struct(y["x"].alias("x"), (y["e"] <= y["x"]["start"]).alias("after"), (s >= y["x"]["end"]).alias("before")))
+    kept = F.filter(told, lambda y: (y["x"]["other"] == 1) & y["after"] & y["before"])
+    return F.transform(kept, lambda y: F.struct(y["x"]["kind"].alias("kind"), y["x"]["start"].alias("start"), y["x"]["end"].alias("end")))
+
+
 def detect(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row."""
-    found = common.stage(candidates(docs), "candidates")
-    model = train(found)
-    cuts = model.thresholds()
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for every row; a map without a shuffle."""
+    model, cuts = train(docs.sparkSession)
     slim = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
-    rows = found.withColumn("base", F.array_sort(F.transform(F.filter("candidates", lambda c: c["base"]), slim)))
 
-    def chosen(c: Column) -> Column:
+    def over(c: Column) -> Column:
         cut = F.lit(None).cast("double")
         for kind, least in enumerate(cuts):
             if math.isfinite(least):
-                cut = F.when(c["kind"] == kind, F.lit(least - 1e-9)).otherwise(cut)
-        over = F.coalesce(model.column(c) >= cut, F.lit(False))
-        clear = ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return (c["plain"] == 0) & over & clear
+                cut = F.when(c["kind"] == kind, F.lit(least - 1e-6)).otherwise(cut)
+        return (c["plain"] == 0) & F.coalesce(model.column(c) >= cut, F.lit(False))
 
-    rows = rows.withColumn("added", F.array_distinct(F.transform(F.filter("candidates", chosen), slim)))
+    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
+    spans = candidates(docs).select("doc_id", F.array_sort(F.transform(F.filter("candidates", lambda c: c["base"]), slim)).alias("base"), F.transform(F.filter("candidates", over), slim).alias("likely"))
+    rows = spans.withColumn("added", F.when(F.size("likely") > 0, _clear(F.col("base"), F.col("likely"))).otherwise(none))
     of_kind = lambda k: F.size(F.filter("base", lambda b: b["kind"] == k)).cast("long")
     counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(_told(F.col("base")), 256).alias("base_sha256"), _told(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
