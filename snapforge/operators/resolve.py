@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.similarity import Choices, TokenSets
 from ..functions.text import asset_identifier, company_key, match_key, plain_key
-from ..functions.udfs import best_ratio, process, token_set_ratio
+from ..functions.udfs import process
+from ..staging import stage
 
-#: Choices that one pass of a fuzzy comparison carries to the executors; more choices take more passes.
+#: Choices that one task of a fuzzy comparison holds.
 CHOICES = 50_000
+#: Names that it compares with them, about.
+NAMES = 50_000
 #: A master table of at most so many keys is broadcast; a larger one is joined as Spark sees fit.
 BROADCAST_ROWS = 500_000
 
@@ -20,11 +26,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Over all shuffle partitions: few rows, but each one costs a comparison with every choice."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _has(df: DataFrame, *columns: str) -> None:
     for c in columns:
         if c not in df.columns:
@@ -48,45 +49,44 @@ def company_choices(assets: DataFrame) -> DataFrame:
     return one.unionByName(two).where("choice <> ''").groupBy("choice").agg(F.max_by("short", "seq").alias("short"), F.min(F.struct("tier", "ord")).alias("pos"))
 
 
-def _in_blocks(choices: DataFrame, column: str, order: Column):
-    """Lists of at most CHOICES values in order; the driver holds one at a time."""
-    block: list[str] = []
-    for row in choices.orderBy(order).select(column).toLocalIterator():
-        block.append(row[0])
-        if len(block) == CHOICES:
-            yield block
-            block = []
-    if block:
-        yield block
-
+def _against(names: DataFrame, choices: DataFrame, compare, schema: str) -> DataFrame:
+    """What compare(names, choices), on tables, says of every part of the names (column key, staged) and every block of the choices (column choice).
 
-def _top(prepared: list[tuple[str, str]], least: int):
-    @F.pandas_udf("choice string, score int")
-    def top(keys: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([best_ratio(k, prepared, least) for k in keys], columns=["choice", "score"])
+    Each name goes to each block once, and each choice to each part once: both are dealt out by hashes, and neither passes the driver.
+    """
+    spark = names.sparkSession
+    blocks = max(1, -(-choices.count() // CHOICES))
+    parts = max(1, -(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // blocks), -(-names.count() // NAMES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = names.select("key", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"), every(blocks).alias("block"))
+    right = choices.select("*", F.pmod(F.xxhash64("choice"), F.lit(blocks)).cast("int").alias("block"), every(parts).alias("part"))
+    return left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInArrow(compare, schema)
 
-    return top
 
+def _best(least: int, names: pa.Table, choices: pa.Table) -> pa.Table:
+    """key, choice, score, tier, ord of the first choice of the best ratio."""
+    choices = choices.sort_by([("tier", "ascending"), ("ord", "ascending")])
+    given, columns = Choices([process(c) for c in choices["choice"].to_pylist()]), [[], [], []]
+    for key in names["key"].to_pylist() if choices.num_rows else ():
+        if found := given.best(process(key), least):
+            for column, value in zip(columns, (key, *found), strict=True):
+                column.append(value)
+    at = pa.array(columns[1], pa.int64())
+    return pa.table([pa.array(columns[0], pa.string()), choices["choice"].take(at), pa.array(columns[2], pa.int32()), choices["tier"].take(at), choices["ord"].take(at)], names=["key", "choice", "score", "tier", "ord"])
 
-def _near(prepared: list[str], least: int):
-    @F.pandas_udf("boolean")
-    def near(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda s: any(token_set_ratio(q, c) >= least for c in prepared) if (q := process(s)) else False)
 
-    return near
+def _near(least: int, names: pa.Table, choices: pa.Table) -> pa.Table:
+    """key of the names with a choice whose token set ratio reaches least."""
+    given = TokenSets([process(c) for c in choices["choice"].to_pylist()])
+    return pa.table([pa.array([k for k in names["key"].to_pylist() if given.near(process(k), least)], pa.string())], names=["key"])
 
 
 def best_companies(names: DataFrame, choices: DataFrame, least: int) -> DataFrame:
     """key, choice, score: for each distinct key the first choice of the best ratio, where that reaches least."""
-    best, names = None, _spread(names)
-    for i, block in enumerate(_in_blocks(choices, "choice", F.col("pos"))):
-        prepared = [(c, process(c)) for c in block]
-        found = names.select("key", _top(prepared, least)("key").alias("m")).select("key", "m.choice", "m.score", F.lit(-i).alias("earlier"))
-        best = found if best is None else best.unionByName(found)
-    if best is None:
-        return names.select("key", F.lit(None).cast("string").alias("choice"), F.lit(0).alias("score")).limit(0)
-    one = best.groupBy("key").agg(F.max(F.struct("score", "earlier", "choice")).alias("m"))
-    return one.select("key", "m.choice", "m.score").where((F.col("score") >= least) & F.col("choice").isNotNull())
+    told = choices.select("choice", "pos.tier", "pos.ord")
+    found = _against(stage(names, "names"), told, partial(_best, least), "key string, choice string, score int, tier int, ord long")
+    first = F.max_by(F.struct("choice", "score"), F.struct("score", -F.col("tier"), -F.col("ord")))
+    return found.groupBy("key").agg(first.alias("m")).select("key", "m.choice", "m.score")
 
 
 def overwrite_company(df: DataFrame, assets: DataFrame, score_threshold: int = 70) -> DataFrame:
@@ -109,17 +109,11 @@ def match_assets(df: DataFrame, assets: DataFrame, fuzzy_threshold: int = 80, st
     known = assets.where(raw.isNotNull())
     exact = known.select(match_key(raw, strict_punct).alias("__exact")).distinct()
     told = told.withColumn("__norm", match_key(F.col("Asset_Identifier"), strict_punct)).join(_small(exact), F.col("__norm") == F.col("__exact"), "left")
-    missed = _spread(told.where("__exact is null and __norm <> ''").select(F.col("Asset_Identifier").alias("__id")).distinct())
-    hits = None
-    for block in _in_blocks(known.select(raw.alias("v"), "ord"), "v", F.col("ord")):
-        prepared = [process(c) for c in block]
-        found = missed.where(_near(prepared, fuzzy_threshold)("__id"))
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        flag = F.col("__exact").isNotNull()
-    else:
-        told = told.join(hits.distinct(), F.col("Asset_Identifier") == F.col("__id"), "left")
-        flag = F.col("__exact").isNotNull() | F.col("__id").isNotNull()
+    told = stage(told, "identified")  # read twice: the names without an exact match, and the rows that get the result
+    missed = told.where("__exact is null and __norm <> ''").select(F.col("Asset_Identifier").alias("key")).distinct()
+    found = _against(stage(missed, "names"), known.select(raw.alias("choice")).distinct(), partial(_near, fuzzy_threshold), "key string")
+    told = told.join(found.distinct().withColumnRenamed("key", "__id"), F.col("Asset_Identifier") == F.col("__id"), "left")
+    flag = F.col("__exact").isNotNull() | F.col("__id").isNotNull()
     return told.withColumn("Match_Found", flag.cast("int")).select(*(f"`{c}`" for c in df.columns if c not in ("Asset_Identifier", "Match_Found")), "Asset_Identifier", "Match_Found")
 
 
