@@ -4,9 +4,10 @@ Candidates. Only distinct fingerprints are compared, so a group of equal texts o
 within 3 bits agree on one of four 16-bit blocks at least, so each stands once under each of its (block, value) keys. A key
 with far more rows than the mean is dealt out again by the same argument over its other 48 bits (four blocks of 12).
 
-Search. Under a key, fingerprints are sorted by Gray rank, so neighbours differ little. Runs of them become nodes that factor
-out the bit pattern all members share, as (mask, pattern); runs of nodes become upper nodes. A search goes down
-from the top, and drops a node with everything below it once the bits in its mask differ in more than 3 places.
+Search. A task sorts the fingerprints of its keys by Gray rank, the key's bits first, so neighbours differ little. Runs of them become
+nodes that factor out the bit pattern all members share, as (mask, pattern); runs of nodes become upper nodes, up to a few at the
+top. Every fingerprint's search goes down from the top, and drops a node with everything below it once the bits in its mask
+differ in more than 3 places, or in one of the key's own.
 
 Groups. A key gives its fingerprints' spanning links, never all pairs; components join them.
 
@@ -35,6 +36,8 @@ SEED = 42
 FANOUT = 16
 #: (query, node) pairs held at once while searching.
 FRONTIER = 4_000_000
+#: Rows of a task, about.
+TASK_ROWS = 1_000_000
 #: A key is dealt out again above this many rows and SPLIT_MEAN times the mean.
 SPLIT_LEAST, SPLIT_MEAN = 256, 16
 
@@ -83,8 +86,9 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 class GrayIndex:
     """The hierarchy over codes in Gray order: levels[k] is (mask, pattern) of the nodes k steps above the codes."""
 
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
+    def __init__(self, codes: np.ndarray, exact: int = 0):
+        """Codes in Gray order; linked ones must agree in the bits of exact."""
+        self.codes, self.exact, self.dropped = codes, np.uint64(exact), 0
         self.levels = [(np.full(len(codes), ~np.uint64(0)), codes)]
         while len(self.levels[-1][1]) > FANOUT:
             mask, pattern = self.levels[-1]
@@ -94,17 +98,21 @@ class GrayIndex:
             self.levels.append((~differ, pattern[starts] & ~differ))
 
     def links(self, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Index pairs (i, j), i < j, of codes within the radius, in blocks of queries."""
-        n, (mask, pattern) = len(self.codes), self.levels[-1]
-        at, step = 0, max(1, min(n, FRONTIER // max(1, n)))
+        """Index pairs (i, j), i < j, of codes within the radius, in blocks of queries; dropped counts the nodes above codes that were left out."""
+        n = len(self.codes)
+        at, step = 0, max(1, min(n, FRONTIER // max(1, n), FRONTIER // FANOUT))
+        step = max(step, min(n, 4096))  # of small tasks many queries go together: a node's survivors are few
         while at < n:
             queries = np.arange(at, min(n, at + step))
-            q, node = np.repeat(queries, len(pattern)), np.tile(np.arange(len(pattern)), len(queries))
+            top = len(self.levels[-1][1])
+            q, node = np.repeat(queries, top), np.tile(np.arange(top), len(queries))
             for depth in range(len(self.levels) - 1, -1, -1):
                 m, p = self.levels[depth]
-                near = np.bitwise_count((self.codes[q] ^ p[node]) & m[node]) <= radius
+                differ = (self.codes[q] ^ p[node]) & m[node]
+                near = (differ & self.exact == 0) & (np.bitwise_count(differ) <= radius)
                 q, node = q[near], node[near]
                 if depth:
+                    self.dropped += len(near) - len(q)
                     below = len(self.levels[depth - 1][1])
                     child = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
                     q = np.repeat(q, FANOUT)
@@ -129,14 +137,28 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
-def spanning(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes to a spanning forest of their links, as (code, its group's first code)."""
-    codes = codes[np.argsort(gray_rank(codes), kind="stable")]
-    label = np.arange(len(codes))
-    for i, j in GrayIndex(codes).links():
+def key_first(codes: np.ndarray, block: int, sub: int) -> tuple[np.ndarray, int]:
+    """(codes with their bits moved, mask of the key's bits): the 16-bit block at the top, then, for sub 1 to 4, that 12-bit block of the others."""
+    one, shift = np.uint64(1), np.uint64(16 * block)
+    low = codes & ((one << shift) - one)
+    high = codes >> np.uint64(16 * block + 16) if block < 3 else np.zeros_like(codes)
+    rest = low | (high << shift)
+    if sub:
+        up = np.uint64(48 - 12 * sub)
+        rest = ((rest << up) | (rest >> (np.uint64(48) - up))) & np.uint64((1 << 48) - 1) if up else rest
+    width = 28 if sub else 16
+    return ((codes >> shift) & np.uint64(0xFFFF)) << np.uint64(48) | rest, ((1 << width) - 1) << (64 - width)
+
+
+def spanning(codes: np.ndarray, block: int = 0, sub: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes to a spanning forest of those of their links that agree in a key, as (code, its group's first code)."""
+    moved, exact = key_first(codes, block, sub)
+    order = np.argsort(gray_rank(moved), kind="stable")
+    codes, label = codes[order], np.arange(len(codes))
+    for i, j in GrayIndex(moved[order], exact).links():
         _unite(label, i, j)
-    moved = label != np.arange(len(codes))
-    return codes[moved], codes[label[moved]]
+    apart = label != np.arange(len(codes))
+    return codes[apart], codes[label[apart]]
 
 
 def near_links(codes: DataFrame) -> DataFrame:
@@ -145,7 +167,8 @@ def near_links(codes: DataFrame) -> DataFrame:
     blocks = F.array(*(F.struct(F.lit(b).alias("b"), value(b, 16, 16 * b).alias("v")) for b in range(4)))
     keyed = codes.select("code", F.explode(blocks).alias("k")).select("code", (F.col("k.v") * 4 + F.col("k.b")).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    mean = codes.count() / (1 << 16)
+    count = codes.count()
+    mean = count / (1 << 16)
     # at most 4 * 65536 / SPLIT_MEAN keys can lie so far above the mean, whatever the input
     hot = sizes.where(F.col("n") > max(SPLIT_LEAST, SPLIT_MEAN * mean)).select("key", F.lit(True).alias("hot"))
     told = keyed.join(F.broadcast(hot), "key", "left")
@@ -163,32 +186,14 @@ def near_links(codes: DataFrame) -> DataFrame:
             return
         table = pa.Table.from_batches(rows)
         code = table.column("code").to_numpy().view(np.uint64)
-        key, sub = table.column("key").to_numpy(), table.column("sub").to_numpy()
-        order = np.lexsort((gray_rank(code), sub, key))
-        code, key, sub = code[order], key[order], sub[order]
-        edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(sub) != 0)) + 1
-        starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(code)]])
-        us, vs = [], []
-        few = ends - starts
-        # keys of up to FANOUT codes are one leaf each: all leaves are compared together, entry by entry
-        leaf = np.repeat(few <= FANOUT, few)
-        run_of = np.repeat(np.arange(len(starts)), few)
-        for step in range(1, FANOUT):
-            i = np.flatnonzero(leaf[:-step] & (run_of[:-step] == run_of[step:])) if len(code) > step else np.empty(0, int)
-            near = i[np.bitwise_count(code[i] ^ code[i + step]) <= RADIUS]
-            us.append(code[near])
-            vs.append(code[near + step])
-        for s, e in zip(starts[few > FANOUT], ends[few > FANOUT], strict=True):
-            u, v = spanning(code[s:e])
-            us.append(u)
-            vs.append(v)
-        u, v = np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)
-        if len(u):
-            u, v = np.unique(np.stack([u, v]), axis=1)
-            yield pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
-
-    n = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "key", "sub").mapInArrow(run, "u long, v long")
+        block, sub = table.column("key").to_numpy() & 3, table.column("sub").to_numpy() & 7
+        for b, s in np.unique(np.stack([block, sub], axis=1), axis=0).tolist():
+            u, v = spanning(code[(block == b) & (sub == s)], b, s)
+            if len(u):
+                yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+
+    n = max(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-4 * count // TASK_ROWS))
+    return dealt.repartition(n, "key", "sub").mapInArrow(run, "u long, v long").distinct()
 
 
 def _grouped(codes: DataFrame) -> DataFrame:

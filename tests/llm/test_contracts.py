@@ -123,6 +123,29 @@ def test_index_finds_all_links():
     assert found == {(i, j) for i in range(len(codes)) for j in range(i + 1, len(codes)) if (int(codes[i]) ^ int(codes[j])).bit_count() <= 3}
 
 
+def test_every_search_goes_down_the_hierarchy(spark, monkeypatch):
+    """Of many unrelated codes and few near ones: all links that share a key are found, and most nodes are left out."""
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, 1 << 63, 4000, np.uint64)
+    codes = np.unique(np.concatenate([codes, codes[:300] ^ np.uint64(5), codes[300:500] ^ np.uint64(1 << 50 | 1 << 3 | 1 << 20)]))
+    near = {(a, b) for k in range(4) for _, run in itertools.groupby(sorted(codes.tolist(), key=lambda c: c >> 16 * k & 0xFFFF), key=lambda c: c >> 16 * k & 0xFFFF) for a, b in itertools.combinations(sorted(run), 2) if (a ^ b).bit_count() <= 3}
+    found = set()
+    for block in range(4):
+        for sub in range(5):
+            moved, exact = simhash.key_first(codes, block, sub)
+            assert len(np.unique(moved)) == len(codes) and exact.bit_count() == (28 if sub else 16)
+            order = np.argsort(simhash.gray_rank(moved))
+            index = simhash.GrayIndex(moved[order], exact)
+            pairs = {tuple(sorted((int(codes[order][i]), int(codes[order][j])))) for a, b in index.links() for i, j in zip(a, b, strict=True)}
+            assert pairs <= near and len(index.levels) == 4 and index.dropped > 10 * len(codes)
+            found |= pairs if not sub else set()
+    assert found == near and len(near) >= 500
+    searched = []
+    links = simhash.GrayIndex.links
+    monkeypatch.setattr(simhash.GrayIndex, "links", lambda self: searched.append(len(self.codes)) or links(self))
+    assert len(simhash.spanning(codes)[0]) and searched == [len(codes)]
+
+
 def test_hot_keys_are_split_without_loss(spark, monkeypatch):
     codes = sorted({5 ^ (1 << a) ^ (1 << b) for a in range(0, 64, 5) for b in range(0, 64, 7)} | {1 << 40 | 3 << 50})
     df = spark.createDataFrame([(c - (c >> 63 << 64),) for c in codes], "code long")
