@@ -16,8 +16,8 @@ from ..functions import derive as D
 from ..functions import text as T
 from ..functions.udfs import html_cell
 from ..operators import diff, resolve
-from ..plans.snapshot import derive, with_status_style
-from ..streaming import incremental  # noqa: F401  (part of the public surface)
+from . import fuzzy_sql
+from .snapshot import build_snapshot, derive, with_status_style
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Fixtures in SQL that Spark and DuckDB read alike.
@@ -110,7 +110,18 @@ register("changed", with_fixtures(_changed_sql(SNAP[1:]), "prev", "cur"), _pair(
 register("changed_ignore", with_fixtures(_changed_sql(["Segment"]), "prev", "cur"), _pair(diff.changed, ignore_cols=["City"], ignore_patterns=["^company"]))
 register("changed_case_sensitive", with_fixtures(_changed_sql(SNAP[1:], lower=False), "prev", "cur"), _pair(diff.changed, case_insensitive=False))
 register("changed_first_per_id", with_fixtures(_changed_sql(["V"], prev="prev_dups", cur="cur_dups"), "prev_dups", "cur_dups"), _pair(diff.changed, "prev_dups", "cur_dups"))
-register("changed_rules", with_fixtures(_changed_sql(SNAP[1:]).replace("Segment, '')", "Segment, ' II')").replace("coalesce(c.Segment, ' II')", "regexp_replace(c.Segment, ' II$', '')").replace("coalesce(p.Segment, ' II')", "p.Segment"), "prev", "cur"), _pair(diff.changed, custom_equivalence_rules=[(r"^(\w+) ii$", r"\1")]))
+RULES_SQL = f"""SELECT * FROM (SELECT c.* EXCLUDE (rn), concat_ws(', ', CASE WHEN lower({NORM.format('c.Company_Name')}) <> lower({NORM.format('p.Company_Name')}) THEN 'Company_Name' END,
+  CASE WHEN lower({NORM.format('c.City')}) <> lower({NORM.format('p.City')}) THEN 'City' END,
+  CASE WHEN regexp_replace(lower(c.Segment), '^(\\w+) ii$', '\\1') <> regexp_replace(lower(p.Segment), '^(\\w+) ii$', '\\1') THEN 'Segment' END) AS Value_Changed
+  FROM (SELECT *, 1 AS rn FROM cur) c JOIN prev p ON c.Certificate_ID = p.Certificate_ID) WHERE Value_Changed <> ''"""
+register("changed_rules", with_fixtures(RULES_SQL, "prev", "cur"), _pair(diff.changed, custom_equivalence_rules=[(r"^(\w+) ii$", r"\1")]))
+register("blank_ids", with_fixtures(f"SELECT trim(Certificate_ID) = '' AS blank, count(*) AS n FROM (SELECT Certificate_ID FROM prev_dups UNION ALL SELECT Certificate_ID FROM cur_dups) GROUP BY 1", "prev_dups", "cur_dups"), lambda s, d: _blank(fixture(s, d, "prev_dups").unionByName(fixture(s, d, "cur_dups"))))
+
+
+def _blank(rows: DataFrame) -> DataFrame:
+    return diff.normalized(rows).groupBy((F.col("Certificate_ID") == "").alias("blank")).agg(F.count("*").alias("n"))
+
+
 register("post_filter", with_fixtures(f"SELECT * FROM ({_changed_sql(SNAP[1:])}) WHERE Value_Changed IS DISTINCT FROM 'Company_Name, City'", "prev", "cur"), lambda s, d: diff.without_change(_pair(diff.changed)(s, d)))
 register(
     "diff_summary",
@@ -195,17 +206,52 @@ def _asset_exact(holders: DataFrame, assets: DataFrame) -> DataFrame:
     return holders.select("ord", key.alias("k")).join(known, F.col("k") == F.col("known"), "left").select("ord", F.col("known").isNotNull().cast("int").alias("exact"))
 
 
-register("fuzzy_company", None, lambda s, d: resolve.overwrite_company(fixture(s, d, "holders"), fixture(s, d, "assets"), K.COMPANY_SCORE))
-register("asset_fuzzy", None, lambda s, d: resolve.match_assets(fixture(s, d, "holders"), fixture(s, d, "assets"), K.ASSET_SCORE))
-register("html_first_href", "SELECT page_id, trim(regexp_extract(html, '<a [^>]*href=\"([^\"]*)\"', 1)) AS href FROM pages WHERE html LIKE '%<a %'", lambda s, d: s.read.parquet(f"{d}/pages.parquet").where("html like '%<a %'").select("page_id", html_cell("html").alias("href")))
+COMPANY = _company_sql("{0}")
+register("fuzzy_company", with_fixtures("+" + fuzzy_sql.companies("holders", COMPANY, K.COMPANY_SCORE, "out_rows") + "\nSELECT * FROM out_rows", "assets", "holders"), lambda s, d: resolve.overwrite_company(fixture(s, d, "holders"), fixture(s, d, "assets"), K.COMPANY_SCORE))
+register("asset_fuzzy", with_fixtures("+" + fuzzy_sql.assets("holders", K.ASSET_SCORE, "out_rows") + "\nSELECT * FROM out_rows", "assets", "holders"), lambda s, d: resolve.match_assets(fixture(s, d, "holders"), fixture(s, d, "assets"), K.ASSET_SCORE))
+register(
+    "two_tier_lookup",
+    with_fixtures(STANDARD.rpartition("\nSELECT")[0] + "\nSELECT ord, company_norm, matched_shortname AS short, matched_city AS city FROM m WHERE matched", "assets", "holders"),
+    lambda s, d: resolve.standardise(fixture(s, d, "holders"), fixture(s, d, "assets")).where("matched").select("ord", "company_norm", F.col("matched_shortname").alias("short"), F.col("matched_city").alias("city")),
+)
+register("html_first_href", "SELECT page_id, CASE WHEN regexp_matches(html, '<a [^>]*href=\"') THEN trim(regexp_extract(html, '<a [^>]*href=\"([^\"]*)\"', 1)) ELSE '' END AS href FROM pages", lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", F.when(F.col("html").rlike('<a [^>]*href="'), html_cell("html")).otherwise("").alias("href")))
+#: Cells with a tooltip, both, entities, nested and unclosed tags, by customer; ~ stands for a double quote.
+CELLS = """SELECT c_custkey AS ord, replace(CASE c_custkey % 9 WHEN 0 THEN '<span class=~has-tip top~ tabindex=~2~ title=~ ' || c_name || ' ~>t</span>' WHEN 1 THEN '<span class=~has-tip top~ tabindex=~2~ title=~tip~>t</span><a href=~ u' || CAST(c_custkey AS STRING) || ' ~>x</a>'
+  WHEN 2 THEN '<p> ' || c_name || ' <b> b </b></p>' WHEN 3 THEN 'a &amp; b' WHEN 4 THEN '<i>open ' || c_mktsegment WHEN 5 THEN '<span class=~top has-tip~ tabindex=~2~ title=~no~>kept</span>' WHEN 6 THEN '<a name=~n~>no link</a> <br/> end ' WHEN 7 THEN '  plain ' || c_name || ' ' ELSE '' END, '~', chr(34)) AS cell FROM customer"""
+FIXTURES["cells"] = CELLS
+CELL_TEXT = r"""SELECT ord, CASE ord % 9 WHEN 0 THEN trim(regexp_extract(cell, 'title="([^"]*)"', 1)) WHEN 1 THEN 'u' || CAST(ord AS STRING) WHEN 2 THEN regexp_extract(cell, '<p> (.*) <b>', 1) || 'b' WHEN 3 THEN 'a & b' WHEN 4 THEN substr(cell, 4) WHEN 5 THEN 'kept' WHEN 6 THEN 'no linkend' WHEN 7 THEN trim(cell) ELSE '' END AS text FROM cells"""
+register("html_text", with_fixtures(CELL_TEXT, "cells"), lambda s, d: fixture(s, d, "cells").select("ord", html_cell("cell").alias("text")))
+#: Names with characters that compatibility form changes, and ones that it leaves and a comparison ignores.
+FIXTURES["odd_names"] = """SELECT c_custkey AS ord, CASE c_custkey % 6 WHEN 0 THEN '\uff21\uff22 ' || c_name WHEN 1 THEN c_name || '\u00a0\u202fx' WHEN 2 THEN 'a\u200b\u2060' || c_name WHEN 3 THEN '  ' || c_name || ' \ufb01n\u00ad ' WHEN 4 THEN 'x\u2460 ' || c_mktsegment ELSE '\u3000' || c_name || '  y' END AS name FROM customer"""
+ODD = "name"
+for _char, _form in (("\uff21", "A"), ("\uff22", "B"), ("\u00a0", " "), ("\u202f", " "), ("\ufb01", "fi"), ("\u2460", "1"), ("\u3000", " "), ("\u200b", ""), ("\u2060", ""), ("\u00ad", "")):
+    ODD = f"replace({ODD}, '{_char}', '{_form}')"
+register("sanitize_names", with_fixtures(f"SELECT ord, regexp_replace(trim({ODD}), ' +', ' ', 'g') AS sanitized FROM odd_names", "odd_names"), lambda s, d: fixture(s, d, "odd_names").select("ord", T.tidy(_nfkc("name")).alias("sanitized")))
 register("status_style", with_fixtures(f"SELECT s.*, {case_map(K.STATUS_STYLES, 's.status', 'NULL')} AS status_style FROM (SELECT {STATUS} AS status, ord FROM raw) s", "raw"), lambda s, d: with_status_style(fixture(s, d, "raw").select(D.status(F.col("cert_status")).alias("status"), "ord")))
-register("snapshot_derived", None, lambda s, d: derive(fixture(s, d, "raw"), fixture(s, d, "geo")))
-
-
-def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    from .snapshot import build_snapshot
-
-    return build_snapshot(fixture(spark, sf, "raw"), fixture(spark, sf, "geo"), fixture(spark, sf, "assets"))
-
-
-register("snapshot_full", None, _snapshot)
+#: The derived columns, each from the raw ones; SNAPSHOT_COLUMNS gives their order.
+DESCRIPTION = f"CASE WHEN cert_scope = '' THEN 'Unknown' ELSE array_to_string(list_transform({PARTS.format('cert_scope')}, lambda x: {case_map(K.SCOPE_DESCRIPTIONS, 'x', chr(39) + 'No Mapping' + chr(39))}), ', ') END"
+GROUPS = f"list_sort(list_distinct(list_filter(list_transform({PARTS.format('cert_scope')}, lambda x: {case_map(K.FACILITY_GROUP_OF, 'x', 'NULL')}), lambda g: g IS NOT NULL)))"
+LINK = f"list_filter({PARTS.format('string_split(cert_map, ' + chr(39) + 'maps?q=' + chr(39) + ')[-1]')}, lambda x: x <> '')"
+PLACE = "CASE WHEN contains(cert_map, 'maps?q=') AND len({link}) >= 2 THEN {link}[{i}] ELSE 'Unknown' END"
+DERIVED = {
+    "Status": STATUS,
+    "Certificate_Type": TYPE,
+    "Certificate_Class": case_map({v: k for k, v in K.CERTIFICATE_TYPES.items()}, TYPE, "'Unknown'"),
+    "Company_Name": "company",
+    "City": CAP.format("city"),
+    "Country": "land",
+    "Region": "CASE WHEN lastgeo.k IS NULL THEN 'Unknown' ELSE r END",
+    "Sub_Region": "CASE WHEN lastgeo.k IS NULL THEN 'Unknown' ELSE s END",
+    "Scope_Description": DESCRIPTION,
+    "Facility_Grouping": f"CASE WHEN len({GROUPS}) = 0 THEN 'Unclassified' ELSE array_to_string({GROUPS}, ', ') END",
+    "Processing_Unit_Type_Description": DESCRIPTION,
+    "Latitude": PLACE.format(link=LINK, i=1),
+    "Longitude": PLACE.format(link=LINK, i=2),
+}
+DERIVE = f"""+ owners AS ({OWNER}), lands AS (SELECT ord AS land_ord, {case_map(K.COUNTRY_OVERRIDES, 'country', 'country')} AS land FROM ({COUNTRY})),
+lastgeo AS (SELECT "Country" AS k, max_by("LCF SnD region 2", ord) AS r, max_by("LCF SnD region 1", ord) AS s FROM geo GROUP BY 1),
+derived AS (SELECT raw.ord, {', '.join(CLEAN.format('(' + DERIVED.get(name, source) + ')') + f' AS "{name}"' for name, source in K.SNAPSHOT_COLUMNS.items() if name in DERIVED or source)}
+  FROM raw JOIN owners ON owners.ord = raw.ord JOIN lands ON land_ord = raw.ord LEFT JOIN lastgeo ON land = lastgeo.k)"""
+register("snapshot_derived", with_fixtures(DERIVE + "\nSELECT * FROM derived", "raw", "geo"), lambda s, d: derive(fixture(s, d, "raw"), fixture(s, d, "geo")))
+WHOLE = DERIVE + "," + fuzzy_sql.companies("derived", COMPANY, K.COMPANY_SCORE, "resolved") + "," + fuzzy_sql.assets("resolved", K.ASSET_SCORE, "snapshot")
+register("snapshot_full", with_fixtures(WHOLE + "\nSELECT * FROM snapshot", "raw", "geo", "assets"), lambda s, d: build_snapshot(fixture(s, d, "raw"), fixture(s, d, "geo"), fixture(s, d, "assets")))
