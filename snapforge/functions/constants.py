@@ -1,17 +1,57 @@
 """Fixed values that results must equal: code tables and column names."""
 
 #: Scope code to facility group.
-FACILITY_GROUPS = {
-    "Non-liquid biofuels assets": "BG BM LNGT LP",
-    "LCF Trading liquid biofuels assets": "BP CPP EP ET MT HEFA HVO",
-    "Feedstock for Biofuels Companies": "COF COP CP FA FG FP ISHC MP OM OT PM PO PU PYP SM TW",
-    "Other Processing Plants/Units": "COMP CV ML MRP PP RE SC CR FPR FSA WH",
-    "Transport & Logistics Companies": "LC TC",
-    "Electricity Assets": "IPEL IPES IPER IPEM",
-    "Chemicals Assets": "PWP SCP",
-    "Trading Companies": "PoC-TR TR TRS",
+FACILITY_GROUP_OF = {
+    "BG": "Non-liquid biofuels assets",
+    "BM": "Non-liquid biofuels assets",
+    "LNGT": "Non-liquid biofuels assets",
+    "LP": "Non-liquid biofuels assets",
+    "BP": "LCF Trading liquid biofuels assets",
+    "CPP": "LCF Trading liquid biofuels assets",
+    "EP": "LCF Trading liquid biofuels assets",
+    "ET": "LCF Trading liquid biofuels assets",
+    "MT": "LCF Trading liquid biofuels assets",
+    "HEFA": "LCF Trading liquid biofuels assets",
+    "HVO": "LCF Trading liquid biofuels assets",
+    "COF": "Feedstock for Biofuels Companies",
+    "COP": "Feedstock for Biofuels Companies",
+    "CP": "Feedstock for Biofuels Companies",
+    "FA": "Feedstock for Biofuels Companies",
+    "FG": "Feedstock for Biofuels Companies",
+    "FP": "Feedstock for Biofuels Companies",
+    "ISHC": "Feedstock for Biofuels Companies",
+    "MP": "Feedstock for Biofuels Companies",
+    "OM": "Feedstock for Biofuels Companies",
+    "OT": "Feedstock for Biofuels Companies",
+    "PM": "Feedstock for Biofuels Companies",
+    "PO": "Feedstock for Biofuels Companies",
+    "PU": "Feedstock for Biofuels Companies",
+    "PYP": "Feedstock for Biofuels Companies",
+    "SM": "Feedstock for Biofuels Companies",
+    "TW": "Feedstock for Biofuels Companies",
+    "COMP": "Other Processing Plants/Units",
+    "CV": "Other Processing Plants/Units",
+    "ML": "Other Processing Plants/Units",
+    "MRP": "Other Processing Plants/Units",
+    "PP": "Other Processing Plants/Units",
+    "RE": "Other Processing Plants/Units",
+    "SC": "Other Processing Plants/Units",
+    "CR": "Other Processing Plants/Units",
+    "FPR": "Other Processing Plants/Units",
+    "FSA": "Other Processing Plants/Units",
+    "WH": "Other Processing Plants/Units",
+    "LC": "Transport & Logistics Companies",
+    "TC": "Transport & Logistics Companies",
+    "IPEL": "Electricity Assets",
+    "IPES": "Electricity Assets",
+    "IPER": "Electricity Assets",
+    "IPEM": "Electricity Assets",
+    "PWP": "Chemicals Assets",
+    "SCP": "Chemicals Assets",
+    "PoC-TR": "Trading Companies",
+    "TR": "Trading Companies",
+    "TRS": "Trading Companies",
 }
-FACILITY_GROUP_OF = {code: group for group, codes in FACILITY_GROUPS.items() for code in codes.split()}
 
 #: Certificate prefix to certificate type; each type stands once, so classes are found the other way round.
 CERTIFICATE_TYPES = {
@@ -129,8 +169,8 @@ LOCATION_SUFFIXES = [r",\s*Budapest,\s*Hungary\s*$"]
 #: Score from which a company name is replaced, and an asset counts as found.
 COMPANY_SCORE, ASSET_SCORE = 51, 80
 
-#: Master-data columns.
-GEO_COUNTRY, GEO_REGION, GEO_SUB_REGION = "Country", "LCF SnD region 2", "LCF SnD region 1"
+#: Master-data columns; the regions' are the defaults of a parameter, as geographies name them differently.
+GEO_COUNTRY, GEO_REGION, GEO_SUB_REGION = "Country", "Region", "Sub Region"
 ASSET_COMPANY, ASSET_SHORT, ASSET_CITY, ASSET_ID = "Company/Producer", "Company/Producer Short Name", "City", "Asset Identifier"
 
 #: Presentation: status to style, and the columns of either provenance.

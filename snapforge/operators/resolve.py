@@ -32,9 +32,9 @@ def _has(df: DataFrame, *columns: str) -> None:
             raise KeyError(f"column {c!r} is missing")
 
 
-def with_regions(df: DataFrame, geo: DataFrame, country: str = "Country") -> DataFrame:
-    """Adds Region and Sub_Region: of repeated countries the last by ord counts; Unknown for a country that isn't there."""
-    last = geo.groupBy(F.col(f"`{K.GEO_COUNTRY}`").alias("__country")).agg(F.max_by(F.struct(F.col(f"`{K.GEO_REGION}`").alias("r"), F.col(f"`{K.GEO_SUB_REGION}`").alias("s")), "ord").alias("__geo"))
+def with_regions(df: DataFrame, geo: DataFrame, country: str = "Country", region: str = K.GEO_REGION, sub_region: str = K.GEO_SUB_REGION) -> DataFrame:
+    """Adds Region and Sub_Region from geo's columns of the names given: of repeated countries the last by ord counts; Unknown for a country that isn't there."""
+    last = geo.groupBy(F.col(f"`{K.GEO_COUNTRY}`").alias("__country")).agg(F.max_by(F.struct(F.col(f"`{region}`").alias("r"), F.col(f"`{sub_region}`").alias("s")), "ord").alias("__geo"))
     joined = df.join(_small(last), F.col(country) == F.col("__country"), "left")
     found = F.col("__country").isNotNull()
     return joined.withColumns({"Region": F.when(found, F.col("__geo.r")).otherwise("Unknown"), "Sub_Region": F.when(found, F.col("__geo.s")).otherwise("Unknown")}).drop("__country", "__geo")

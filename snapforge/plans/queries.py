@@ -41,8 +41,8 @@ FIXTURES = {
         'f' AS cert_file, 'a' AS cert_audit,
         CASE c_custkey % 11 WHEN 0 THEN '1' WHEN 1 THEN ' 5 ' WHEN 2 THEN '10' WHEN 3 THEN '12' WHEN 4 THEN '13' WHEN 5 THEN '15' WHEN 6 THEN '20' WHEN 7 THEN '21' WHEN 8 THEN '99' WHEN 9 THEN '1.0' ELSE '' END AS cert_status
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "geo": """SELECT n_name AS "Country", 'r' || CAST(n_regionkey AS STRING) AS "LCF SnD region 2", 's' || CAST(n_nationkey AS STRING) AS "LCF SnD region 1", n_nationkey AS ord FROM nation WHERE n_nationkey % 6 <> 0
-        UNION ALL SELECT n_name AS "Country", 'last' AS "LCF SnD region 2", 'x' || CAST(n_nationkey AS STRING) AS "LCF SnD region 1", n_nationkey + 100 AS ord FROM nation WHERE n_nationkey % 4 = 0""",
+    "geo": """SELECT n_name AS "Country", 'r' || CAST(n_regionkey AS STRING) AS "Region", 's' || CAST(n_nationkey AS STRING) AS "Sub Region", n_nationkey AS ord FROM nation WHERE n_nationkey % 6 <> 0
+        UNION ALL SELECT n_name AS "Country", 'last' AS "Region", 'x' || CAST(n_nationkey AS STRING) AS "Sub Region", n_nationkey + 100 AS ord FROM nation WHERE n_nationkey % 4 = 0""",
     "holders": """SELECT c_custkey AS ord, CASE c_custkey % 4 WHEN 0 THEN upper(c_name) WHEN 1 THEN 'S ' || CAST(c_custkey % 90 AS STRING) ELSE c_name END AS "Company_Name", 'town ' || CAST(c_nationkey AS STRING) AS "City", n_name AS "Country" FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "assets": """SELECT 'Customer#' || substr('00000000' || CAST(s_suppkey * 8 AS STRING), length('00000000' || CAST(s_suppkey * 8 AS STRING)) - 8, 9) AS "Company/Producer", 's' || CAST(s_suppkey % 60 AS STRING) AS "Company/Producer Short Name",
         'plant ' || CAST(s_nationkey AS STRING) AS "City", 'Customer#' || substr('00000000' || CAST(s_suppkey * 8 AS STRING), length('00000000' || CAST(s_suppkey * 8 AS STRING)) - 8, 9) || ' town ' || CAST(s_nationkey AS STRING) AS "Asset Identifier", s_suppkey AS ord FROM supplier""",
@@ -181,7 +181,7 @@ register(
     with_fixtures(f"SELECT ord, CASE WHEN ok THEN p[1] ELSE 'Unknown' END AS lat, CASE WHEN ok THEN p[2] ELSE 'Unknown' END AS lon FROM (SELECT ord, p, contains(cert_map, 'maps?q=') AND len(p) >= 2 AS ok FROM (SELECT ord, cert_map, list_filter({PARTS.format('string_split(cert_map, ' + chr(39) + 'maps?q=' + chr(39) + ')[-1]')}, lambda x: x <> '') AS p FROM raw))", "raw"),
     _from("raw", lambda: ("ord", D.coordinate(F.col("cert_map"), 0).alias("lat"), D.coordinate(F.col("cert_map"), 1).alias("lon"),)),
 )
-REGION = """+ lastgeo AS (SELECT "Country" AS k, max_by("LCF SnD region 2", ord) AS r, max_by("LCF SnD region 1", ord) AS s FROM geo GROUP BY 1)
+REGION = """+ lastgeo AS (SELECT "Country" AS k, max_by("Region", ord) AS r, max_by("Sub Region", ord) AS s FROM geo GROUP BY 1)
 SELECT holders.*, CASE WHEN k IS NULL THEN 'Unknown' ELSE r END AS "Region", CASE WHEN k IS NULL THEN 'Unknown' ELSE s END AS "Sub_Region" FROM holders LEFT JOIN lastgeo ON "Country" = k"""
 register("region_lookup", with_fixtures(REGION, "geo", "holders"), lambda s, d: resolve.with_regions(fixture(s, d, "holders"), fixture(s, d, "geo")))
 KEY = "replace(replace(replace(lower(coalesce({0}, 'nan')), ' ', ''), '\"', ''), '''', '')"
@@ -249,7 +249,7 @@ DERIVED = {
     "Longitude": PLACE.format(link=LINK, i=2),
 }
 DERIVE = f"""+ owners AS ({OWNER}), lands AS (SELECT ord AS land_ord, {case_map(K.COUNTRY_OVERRIDES, 'country', 'country')} AS land FROM ({COUNTRY})),
-lastgeo AS (SELECT "Country" AS k, max_by("LCF SnD region 2", ord) AS r, max_by("LCF SnD region 1", ord) AS s FROM geo GROUP BY 1),
+lastgeo AS (SELECT "Country" AS k, max_by("Region", ord) AS r, max_by("Sub Region", ord) AS s FROM geo GROUP BY 1),
 derived AS (SELECT raw.ord, {', '.join(CLEAN.format('(' + DERIVED.get(name, source) + ')') + f' AS "{name}"' for name, source in K.SNAPSHOT_COLUMNS.items() if name in DERIVED or source)}
   FROM raw JOIN owners ON owners.ord = raw.ord JOIN lands ON land_ord = raw.ord LEFT JOIN lastgeo ON land = lastgeo.k)"""
 register("snapshot_derived", with_fixtures(DERIVE + "\nSELECT * FROM derived", "raw", "geo"), lambda s, d: derive(fixture(s, d, "raw"), fixture(s, d, "geo")))

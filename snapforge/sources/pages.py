@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from html.parser import HTMLParser
 from urllib.parse import urlencode
@@ -51,8 +52,8 @@ def fetch(endpoint: str, start: int, length: int, nonce: str) -> tuple[list, int
 
 
 class _Page(InputPartition):
-    def __init__(self, start: int):
-        self.start = start
+    def __init__(self, start: int, began: float):
+        self.start, self.began = start, began
 
 
 class _Reader(DataSourceReader):
@@ -65,10 +66,14 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         _, total = fetch(self.endpoint, 0, 1, self.nonce)
-        return [_Page(s) for s in range(0, total, self.size)]
+        began = time.time()
+        return [_Page(s, began) for s in range(0, total, self.size)]
 
     def read(self, partition):
-        time.sleep(self.delay if partition.start else 0)
+        """One page; a delay spaces the requests of all tasks by the pages' numbers, from the time the scan was planned."""
+        if partition is None:  # an empty registry has no pages
+            return
+        time.sleep(max(0.0, partition.began + self.delay * (partition.start // self.size) - time.time()) if self.delay else 0)
         rows, total = fetch(self.endpoint, partition.start, self.size, self.nonce)
         if len(rows) < min(self.size, total - partition.start):
             raise ValueError(f"the page from row {partition.start} is incomplete: {len(rows)} rows of {total}")
@@ -91,21 +96,30 @@ class RegistrySource(DataSource):
 
 
 def saved_pages(spark: SparkSession, path: str, check_complete: bool = True) -> DataFrame:
-    """ord, cells from saved page envelopes; ValueError where their rows are fewer or more than recordsTotal says."""
+    """ord, cells from saved page envelopes; ValueError where their rows are fewer or more than recordsTotal says.
+
+    Pages follow one another by file name, numbers in it by their value; of several envelopes in one file (an array) each is a page.
+    """
     pages = spark.read.schema(PAGE).option("multiLine", True).json(path).withColumn("__file", F.input_file_name())
+    pages = pages.withColumn("__page", F.monotonically_increasing_id())  # one file is one partition's, whose envelopes keep their order
     if check_complete:
         rows, total = pages.agg(F.sum(F.size("data")), F.max(F.col("recordsTotal").cast("long"))).first()
         if total is not None and (rows or 0) != total:
             raise ValueError(f"the pages hold {rows} rows of {total}")
-    # a page's rows keep their order behind the page's own place, which file names give
-    starts = pages.groupBy("__file").agg(F.sum(F.size("data")).alias("n"))
+    # a page's rows keep their order behind the page's own place
+    starts = pages.select("__file", "__page", F.size("data").alias("n")).collect()  # a row a page
     before, told = 0, []
-    for name, n in sorted((r["__file"], r["n"]) for r in starts.collect()):  # a row a page
-        told.append((name, before))
-        before += n
-    offsets = spark.createDataFrame(told, "__file string, __before long")
-    spread = pages.select("__file", F.posexplode("data").alias("pos", "cells"))
-    return spread.join(F.broadcast(offsets), "__file").select((F.col("__before") + F.col("pos")).alias("ord"), "cells")
+    for r in sorted(starts, key=lambda r: (_numbered(r["__file"]), r["__page"])):
+        told.append((r["__page"], before))
+        before += max(0, r["n"])
+    offsets = spark.createDataFrame(told, "__page long, __before long")
+    spread = pages.select("__page", F.posexplode("data").alias("pos", "cells"))
+    return spread.join(F.broadcast(offsets), "__page").select((F.col("__before") + F.col("pos")).alias("ord"), "cells")
+
+
+def _numbered(name: str) -> list:
+    """A name's parts, for an order in which 2 comes before 10."""
+    return [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"(\d+)", name) if x]
 
 
 def raw_rows(cells: DataFrame) -> DataFrame:
