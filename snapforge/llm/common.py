@@ -1,55 +1,19 @@
-"""Helpers shared by the training-data operators: scratch space on the cluster's shared folder, column plumbing."""
+"""Helpers shared by the training-data operators: sizes, files, column plumbing."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import remove, scratch, stage, unstage  # noqa: F401  (for the operators)
+
 ID, TEXT = "doc_id", "text"
 #: Bytes of input, as its files hold it, that one task should handle when an operator deals rows out anew.
 TASK_BYTES = 64 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    jsc = spark.sparkContext._jsc.sc()
-    if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="snapforge-shared-"))
-    return jsc.getCheckpointDir().get().rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/snapforge/{uuid.uuid4().hex}/{name}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path that nothing reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def unstage(df: DataFrame) -> None:
-    """Delete what stage() wrote; call it once the last reader has been materialised."""
-    files = df.inputFiles()
-    if files:
-        remove(df.sparkSession, files[0].rpartition("/")[0])
-
-
 def tasks_for(df: DataFrame, each: int = TASK_BYTES) -> int:
     """How many tasks df's input is worth, by the optimiser's estimate of its size; 1 where it has none."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

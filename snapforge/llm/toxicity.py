@@ -1,15 +1,23 @@
-"""Toxicity by class-conditional word counts and Kneser-Ney models of letters.
+"""Toxicity by class-conditional Kneser-Ney models of words.
 
-For each class, an expression (a word) with more than RARE different left contexts in both classes together has the add-one
-unigram probability of those contexts' count. Any other word's own counts are not used: an interpolated, absolutely discounted
-Kneser-Ney model gives its probability from its letters in contexts of up to ORDER - 1 letters. No word is conditioned on the one before it. The letter model's
-top order is the class's own; all lower orders are continuation counts that the classes share, so a rare expression is
-smoothed alike by both and only what a class really says more often tells. A text's evidence is the length-normalised
-difference of its toxic and ordinary log-likelihoods, over the whole text and over its most toxic stretches; a logistic
-calibration, fitted on labelled texts that the counts haven't seen, turns it into a probability.
+Each class, toxic and ordinary, has an interpolated model with absolute discounts; c is a class, v the word before w:
+
+    P_c(w | v) = max(N_c(. v w) - D, 0) / N_c(. v .)   + share_c(v) P_c(w)     in how many left contexts the class says v w
+    P_c(w)     = max(N_c(. w) - D, 0) / N_c(. .)       + share_c    P(w)       in how many left contexts the class says w
+    P(w)       = the lesser of N_c(. w) / N_c(. .)     + rest       L_c(w)     what the classes share of those counts
+    L_c(w)     the word's letters, in contexts of up to ORDER - 1 letters: grams of the top order are the class's own,
+               all lower orders continuation counts that the classes share
+
+All counts are of different contexts and near copies of a text are left out, so copies count once. Every share is what the discounts leave, so each level sums to
+one. D is DISCOUNT: an expression seen no more often than that in a class keeps no count of its own, is smoothed alike in both
+classes by the shared counts, and tells by its letters at most. A text's evidence is the length-normalised difference of its
+toxic and ordinary log-likelihoods, over the whole text and over its most toxic stretches of a few lengths, as a long
+text may be toxic in one place; a logistic calibration, fitted on labelled texts that the counts haven't seen, turns
+it into a probability.
 
 Learning takes a bounded sample: the FIT + CALIBRATE labelled documents of each class with the least hash of their id, none of
-them held out. Ids that are labelled both ways are left out. Scoring takes every document, as a map without a shuffle.
+them held out, and of each text the first WORDS words (scoring takes all of every text). Ids that are labelled both
+ways are left out. Scoring takes every document, as a map without a shuffle.
 
 Nulls: a null or empty text has no words and gets the calibration's value for no evidence. Labels with a null id or null
 label are left out. Repeated rows are all returned. Without labels of both classes every score is 0. An empty
@@ -21,8 +29,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from itertools import pairwise
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,16 +39,18 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled documents of a class whose words are counted, and further ones for the calibration: the sample's bound.
-FIT, CALIBRATE = 1500, 700
-#: A word with no more contexts than this, in both classes together, is left to the backoff altogether.
-RARE = 5
+#: Labelled documents of a class whose words are counted, further ones for the calibration, and words of each: the sample's bound.
+FIT, CALIBRATE, WORDS = 1500, 700, 20_000
 #: Letters in the longest gram of the letter model.
 ORDER = 5
-#: Evidence of a single word is held within this.
-MOST = 12.0
+#: The absolute discount of words and pairs: what is seen no more often keeps no count of its own.
+DISCOUNT = 4
+#: A word's contexts in one text count up to so many, or a text that shuffles a few words would make them frequent.
+PER_TEXT = 2
+#: Evidence of a single word is held within this, and within the lesser bound if it has only its letters to tell.
+MOST, MOST_BY_LETTERS = 30.0, 4.0
 #: Words of a stretch, and words remembered by a worker.
-STRETCHES = (1, 3, 12)
+STRETCHES = (1, 2, 4, 12)
 CACHE = 300_000
 HELD_OUT_OF = 5
 WORD = re.compile(r"[^\W\d_]+")
@@ -99,59 +108,118 @@ class Letters:
                 self.known[gram] = p
         return p
 
-    def word(self, w: str) -> float:
-        """log P(w | first class) - log P(w | second class)."""
-        (own0, left0), (own1, left1) = self.top
-        known, total, ratio = self.known, 0.0, 1.0
-        padded = "^" * (ORDER - 1) + w + "$"
+    def word(self, w: str) -> tuple[float, float]:
+        """P(w) by its letters, in either class."""
+        known, padded, out = self.known, "^" * (ORDER - 1) + w + "$", [1.0, 1.0]
         for i in range(len(w) + 1):
             g = padded[i : i + ORDER]
             h, low = g[:-1], g[1:]
             rest = known.get(low) or self.below(low)
-            ratio *= (own0.get(g, 0.0) + left0.get(h, 1.0) * rest) / (own1.get(g, 0.0) + left1.get(h, 1.0) * rest)
-            if not 1e-200 < ratio < 1e200:
-                total, ratio = total + math.log(max(ratio, 1e-300)), 1.0
-        return total + math.log(ratio)
+            for c, (own, left) in enumerate(self.top):
+                out[c] *= own.get(g, 0.0) + left.get(h, 1.0) * rest
+        return max(out[0], 1e-250), max(out[1], 1e-250)
+
+
+def without_copies(texts: Iterable[list[str]]) -> Iterator[list[str]]:
+    """The texts but those of whose word triples a third or more stand in earlier ones."""
+    seen: set[int] = set()
+    for ws in texts:
+        own = {hash(x) for x in zip(ws, ws[1:], ws[2:])}
+        if not own or 3 * len(own & seen) < len(own):
+            yield ws
+        seen |= own
+
+
+def discounted(counts: Counter) -> tuple[dict, float]:
+    """(each one's own probability, the share left to the backoff) of counts under an absolute discount of DISCOUNT."""
+    total = sum(counts.values())
+    return ({w: (n - DISCOUNT) / total for w, n in counts.items() if n > DISCOUNT}, sum(min(n, DISCOUNT) for n in counts.values()) / total) if total else ({}, 1.0)
 
 
 class Model:
     """Both classes' word models, and the calibration."""
 
     def __init__(self, toxic: list[str], ordinary: list[str]):
-        # continuation counts: in how many different left contexts a word stands, so copies of a text count once
-        pairs = [{p for t in texts for p in pairwise(["", *words_of(t)])} for texts in (toxic, ordinary)]
-        self.counts = [Counter(w for _, w in p) for p in pairs]
-        self.totals = [max(1, sum(c.values())) for c in self.counts]
-        self.passed = [sum(min(n, RARE) for n in c.values()) / t or 1.0 for c, t in zip(self.counts, self.totals, strict=True)]
-        self.letters = Letters(self.counts)
+        pairs = []
+        for texts in (toxic, ordinary):
+            # continuation counts at both levels: in how many different left contexts a pair stands, so that copies of a text count once
+            triples: set[tuple[str, str, str]] = set()
+            for ws in without_copies(words_of(t)[:WORDS] for t in texts):
+                taken: Counter = Counter()
+                for triple in zip(["", "", *ws], ["", *ws], ws):
+                    taken[triple[2]] += 1
+                    if taken[triple[2]] <= PER_TEXT:
+                        triples.add(triple)
+            pairs.append(Counter((v, w) for _, v, w in triples))
+        contexts = [Counter(w for _, w in p) for p in pairs]
+        self.own = [discounted(c) for c in contexts]
+        totals = [max(1, sum(c.values())) for c in contexts]
+        self.shared = {w: min(n / totals[0], contexts[1][w] / totals[1]) for w, n in contexts[0].items() if w in contexts[1]}
+        self.rest = max(1e-3, 1 - sum(self.shared.values()))
+        self.letters = Letters(contexts)
         self.weights: list[float] | None = None
+        self.words: dict[str, tuple[float, float]] = {}
+        #: For each word, the log ratio of the shares that its pairs leave to the backoff, and the evidence of pairs that keep counts of their own.
+        self.after: dict[str, tuple[float, dict[str, float]]] = {}
+        share, kept = [], []
+        for p in pairs:
+            total, left = Counter(), Counter()
+            for (v, _), n in p.items():
+                total[v] += n
+                left[v] += min(n, DISCOUNT)
+            share.append({v: left[v] / n for v, n in total.items() if left[v] < n})
+            kept.append({(v, w): (n - DISCOUNT) / total[v] for (v, w), n in p.items() if n > DISCOUNT})
+        for v in {*share[0], *share[1]}:
+            self.after[v] = (math.log(share[0].get(v, 1.0) / share[1].get(v, 1.0)), {})
+        for v, w in {*kept[0], *kept[1]}:
+            p = self.word(w)
+            each = [kept[c].get((v, w), 0.0) + share[c].get(v, 1.0) * p[c] for c in (0, 1)]
+            self.after[v][1][w] = max(-MOST, min(MOST, math.log(each[0] / each[1])))
+        self.words.clear()
+
+    def word(self, w: str) -> tuple[float, float]:
+        """P_c(w) of either class."""
+        if (p := self.words.get(w)) is None:
+            by_letters, low = self.letters.word(w), self.shared.get(w, 0.0)
+            p = tuple(own.get(w, 0.0) + share * (low + self.rest * by_letters[c]) for c, (own, share) in enumerate(self.own))
+            if len(self.words) < CACHE:
+                self.words[w] = p
+        return p
 
-    def evidence(self, word: str) -> complex:
-        """log P(word | toxic) - log P(word | ordinary): real from the word's own counts, imaginary from its letters if it is rare."""
-        counts = [c.get(word, 0) for c in self.counts]
-        if sum(counts) > RARE:  # one shared pseudo-context keeps a class that never says it from having no probability
-            each = [math.log((n + 1) / (t + 1)) for n, t in zip(counts, self.totals, strict=True)]
-            e = each[0] - each[1]
-        else:
-            e = math.log(self.passed[0] / self.passed[1]) + self.letters.word(word)
-        e = max(-MOST, min(MOST, e))
-        return complex(e, 0) if sum(counts) > RARE else complex(0, e)
+    def alone(self, w: str) -> float:
+        """log P(w | toxic) - log P(w | ordinary), whatever stands before w."""
+        a, b = self.word(w)
+        most = MOST if any(w in own for own, _ in self.own) else MOST_BY_LETTERS
+        return max(-most, min(most, math.log(a / b)))
+
+    def evidence(self, words: list[str], of) -> np.ndarray:
+        """log P(w | v, toxic) - log P(w | v, ordinary) of each word."""
+        after, out, v = self.after.get, [], ""
+        for w in words:
+            if (held := after(v)) is None:
+                out.append(of(w))
+            elif (e := held[1].get(w)) is None:
+                out.append(of(w) + held[0])
+            else:
+                out.append(e)
+            v = w
+        return np.array(out)
 
     def features(self, text: str | None, of) -> list[float]:
-        """Of both kinds of evidence, the length-normalised difference over the text and over its most toxic stretches."""
-        both = np.fromiter(map(of, words_of(text)), complex)
-        n, out = len(both), []
-        for e in (both.real, both.imag):
-            run = np.concatenate([[0.0], np.cumsum(e)])
-            out += [float(run[-1] / n), *(float((run[min(k, n) :] - run[: n + 1 - min(k, n)]).max() / k) for k in STRETCHES)] if n else [0.0] * (1 + len(STRETCHES))
-        return out
+        """The length-normalised difference over the text and over its most toxic stretches."""
+        e = self.evidence(words_of(text), of)
+        n = len(e)
+        if not n:
+            return [0.0] * (1 + len(STRETCHES))
+        run = np.concatenate([[0.0], np.cumsum(e)])
+        return [float(run[-1] / n), *(float((run[min(k, n) :] - run[: n + 1 - min(k, n)]).max() / k) for k in STRETCHES)]
 
     def calibrate(self, texts: list[str], labels: list[int]) -> None:
         """Logistic regression with a little shrinkage, by Newton's method."""
-        of = Remembered(self)
-        x = np.array([[1.0, *self.features(t, of.__getitem__)] for t in texts])
+        of = Remembered(self).__getitem__
+        x = np.array([[1.0, *self.features(t, of)] for t in texts])
         y, w = np.array(labels, float), np.zeros(x.shape[1])
-        ridge = np.diag([1e-6] + [0.05] * (len(w) - 1))
+        ridge = np.diag([1e-3] + [0.3] * (len(w) - 1))
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
@@ -165,7 +233,7 @@ class Model:
 
 
 class Remembered(dict):
-    """Evidence of words, for up to CACHE of them."""
+    """Evidence of words alone, for up to CACHE of them."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -173,7 +241,7 @@ class Remembered(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= CACHE:
             self.clear()
-        made = self[word] = self.model.evidence(word)
+        made = self[word] = self.model.alone(word)
         return made
 
 

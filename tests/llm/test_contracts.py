@@ -434,9 +434,9 @@ def test_pipeline_equals_brute_force(spark, tmp_path, library, monkeypatch):
     import corpus_pipeline
     from xxhash import xxh64_intdigest
 
-    # knows one toxic word by its own counts, and weighs only the most toxic stretch of such words
+    # knows one toxic word, and weighs only the most toxic word
     fixed = toxicity.Model([f"{'x' * i} nastyword" for i in range(1, 50)], [f"{'x' * i} quietword" for i in range(1, 50)])
-    fixed.weights = [-1.0, 0.0, 1000.0, *[0.0] * (2 * len(toxicity.STRETCHES))]
+    fixed.weights = [-6.0, 0.0, 1.0, *[0.0] * (len(toxicity.STRETCHES) - 1)]  # letters tell 4 at most
     monkeypatch.setattr(toxicity, "learn", lambda docs, labels: fixed)
     given = spark.read.parquet(f"{SF}/documents.parquet")
     bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
