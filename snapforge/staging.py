@@ -32,10 +32,15 @@ def root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/snapforge/{spark.sparkContext.applicationId}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system named, as Spark resolves it."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, with its file system named."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root(spark)}/{uuid.uuid4().hex}/{name}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    """A new path in the shared folder."""
+    return qualified(spark, f"{root(spark)}/{uuid.uuid4().hex}/{name}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
