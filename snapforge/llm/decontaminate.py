@@ -9,8 +9,8 @@ hash and a 64-bit hash of all ten words coincide.)
 
 An item of fewer than 10 words is one window of its own length, matched by the hash of all its words.
 
-Joins. The benchmark's windows are broadcast while there are at most BROADCAST_WINDOWS of them, which is counted first; so
-are its items of each size below 10 words.
+Joins. The benchmark's windows are broadcast while there are at most BROADCAST_WINDOWS of them, and they and the ids of the items that
+hold them take at most BROADCAST_BYTES; both are counted first. So are its items of each size below 10 words.
 Beyond that, documents are first reduced to those that share a fingerprint, by a join on each document's distinct
 fingerprints, and both joins shuffle; a fingerprint held by a large share of documents is then a skewed key with few
 benchmark rows on the other side, which Spark splits.
@@ -29,7 +29,8 @@ from . import common
 from .arrays import NOT_WORD, ahead, joined, lower_ascii, split_words
 
 WINDOW, GRAM = 10, 5
-BROADCAST_WINDOWS = 1_000_000
+#: Windows, and bytes of them and of the ids of the items that hold them, up to which the benchmark's side is broadcast.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def _words(text: Column) -> Column:
@@ -94,10 +95,11 @@ def _matches(docs: DataFrame, benchmark: DataFrame, every: bool, broadcast_windo
     """doc_id, key, digest, n, pos, size, items: a row a hit; with every, also one with null pos and items for each row of docs."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), _words(F.col("text").cast("string")).alias("words")).where("item is not null and size(words) > 0")
     items = common.stage(_hashed(items), "items")
-    short_sizes = sorted(map(tuple, items.where(F.col("n") < WINDOW).groupBy("n").count().collect()))  # at most 9
+    short_sizes = sorted(map(tuple, items.where(F.col("n") < WINDOW).groupBy("n").agg(F.count("*"), F.sum(F.octet_length("item") + 64)).collect()))  # at most 9
     long = _spread(_windows(items.where(F.col("n") >= WINDOW)), "item").groupBy("fp", "whole").agg(F.collect_set("item").alias("items"))
     long = common.stage(long, "windows")
-    small = long.count() <= broadcast_windows
+    entries, size = long.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 64), F.lit(0))).first()
+    small = entries <= broadcast_windows and size <= BROADCAST_BYTES
 
     names = ["doc_id", "key", "digest", "n"]
     hashed = _hashed(_keyed(docs).select("doc_id", "key", "digest", _words(F.col("text")).alias("words")))
@@ -119,8 +121,8 @@ def _matches(docs: DataFrame, benchmark: DataFrame, every: bool, broadcast_windo
         hits = _spread(windows, *names).join(long, ["fp", "whole"]).select(*found)
         if every:
             hits = hits.unionByName(hashed.select(*names, F.lit(None).cast("int").alias("pos"), F.lit(WINDOW).alias("size"), F.lit(None).cast("array<string>").alias("items")))
-    for size, n_items in short_sizes:
-        hinted = F.broadcast if n_items <= broadcast_windows else (lambda x: x)
+    for size, n_items, n_bytes in short_sizes:
+        hinted = F.broadcast if n_items <= broadcast_windows and n_bytes <= BROADCAST_BYTES else (lambda x: x)
         known = _short(items.where(F.col("n") == size), size).select("item", F.explode("whole").alias("whole")).groupBy("whole").agg(F.collect_set("item").alias("items"))
         spread = _short(hashed.where(F.col("n") >= size), size).select(*names, F.posexplode("whole").alias("pos", "whole"))
         hits = hits.unionByName(spread.join(hinted(known), "whole").select(*names, "pos", F.lit(size).alias("size"), "items"))
