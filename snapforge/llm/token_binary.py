@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import qualified
 from . import common
 from .pieces import CORES, Pieces, blocks, by_piece, lowers
 
@@ -219,7 +220,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
     is written by one task, under a name of its own for each attempt, so a task that ran twice leaves an unused file and
     never a broken one. The manifest has a row a shard; it is all that the driver sees.
     """
-    spark = docs.sparkSession
+    spark, out_dir = docs.sparkSession, qualified(docs.sparkSession, out_dir)
     rows = common.id_text(docs).select(common.ID, F.xxhash64(common.TEXT).alias("digest"), F.monotonically_increasing_id().alias("place"), common.TEXT)
     shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), common.tasks_for(docs))
     ordered = rows.repartitionByRange(shards, common.ID, "digest", "place").sortWithinPartitions(common.ID, "digest", "place").select(common.ID, common.TEXT)
