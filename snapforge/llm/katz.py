@@ -14,9 +14,9 @@ counts and get them back in the order they asked in, so no text and no key trave
   words   block -> (bucket by word): words and their counts -> totals, back to the block
   pairs   block -> (bucket by history): distinct pairs and their counts -> totals and the history's counts of counts, back
 
-A history with more than a quarter of a bucket's share of all tokens is spread over all buckets by the second word; there are at
-most 4 * buckets of those, whose sums alone come to the driver, beside a few totals. Pairs are
-pre-aggregated in their blocks. Words are compared as strings, pairs by 64-bit hashes. Every step's rows are written to
+A history with more than a quarter of a bucket's share of all tokens is spread over all buckets by the second word. Their sums are added
+up over the buckets; while there are at most HOT_SENT of them, which is counted first, they go to all tasks with the few totals,
+and else back to the blocks that hold them by a join. Pairs are pre-aggregated in their blocks. Words are compared as strings, pairs by 64-bit hashes. Every step's rows are written to
 the shared folder.
 
 Nulls: a null text is empty and has just the end. A null doc_id hashes as the empty string. Repeated rows are all
@@ -43,6 +43,8 @@ from . import common
 BLOCK_TOKENS, BUCKET_TOKENS = 1_500_000, 4_000_000
 #: A history with fewer tokens is never spread.
 HOT_LEAST = 1000
+#: Spread histories whose sums are sent to all tasks; of more, each block gets its own.
+HOT_SENT = 100_000
 #: Counts up to K are discounted.
 K = 5
 HELD_OUT = (7, 2)
@@ -137,7 +139,9 @@ def bucketed(packed: DataFrame) -> DataFrame:
     spark, name = packed.sparkSession, f"snapforge_blocks_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed.write.option("path", common.scratch(spark, "blocks")).bucketBy(n, "block").sortBy("block").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only its name goes: the files lie at a path of their own, which the resolved table goes on reading
+    return table
 
 
 def local_words(raw: bytes) -> list[bytes]:
@@ -272,6 +276,34 @@ def answer_pairs(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("bucket").applyInArrow(run, ANSWER)
 
 
+def hot_sums(pairs: DataFrame) -> DataFrame:
+    """history and its sums (s1 to sK, sw) over all buckets, of the spread histories."""
+    names = [*(f"s{k}" for k in range(1, K + 1)), "sw"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                own, *sums = unpack_wide(data)
+                yield pa.record_batch([pa.array(own.view(np.int64)), *map(pa.array, sums)], names=["history", *names])
+
+    told = pairs.where("kind = 1").select("data").mapInArrow(run, "history long, " + ", ".join(f"{n} long" for n in names))
+    return told.groupBy("history").agg(*(F.sum(n).alias(n) for n in names))
+
+
+def hot_of_blocks(with_words: DataFrame, hot: DataFrame, word_buckets: int, hot_from: float) -> DataFrame:
+    """block and hot_totals, the sums of the spread histories that it holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, words, given in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own, totals = totals_of(local_words(words), given, word_buckets)
+                held = own[totals >= hot_from].view(np.int64)
+                yield pa.record_batch([pa.array([block] * len(held), pa.string()), pa.array(held)], names=["block", "history"])
+
+    held = with_words.select("block", "words", "word_totals").mapInArrow(run, "block string, history long")
+    return held.join(hot, "history").groupBy("block").agg(F.collect_list(F.struct("*")).alias("hot_totals")).select("block", F.transform("hot_totals", lambda x: x.dropFields("block")).alias("hot_totals"))
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """Katz's d_1 to d_K from the counts of counts n[0] (once) to n[K]; half a count where Good-Turing's formula fails."""
     out = []
@@ -311,9 +343,10 @@ class Backoff:
 def score_blocks(joined: DataFrame, model: Backoff, buckets: int, word_buckets: int, hot_from: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, held, sizes, ids, words, given, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for docs, held, sizes, ids, words, given, told, hot in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own, c = totals_of(local_words(words), given, word_buckets)
                 (held,), (sizes,), (ids,) = unpack(held), unpack(sizes), unpack(ids)
+                spread = model.hot if hot is None else {x.pop("history") % (1 << 64): np.array(list(x.values())) for x in hot}
                 pairs = Pairs(ids, own, c, hot_from, buckets)
                 answer = {x["bucket"]: unpack_wide(x["data"]) for x in told}
                 r, low, seen = np.zeros(len(pairs.unique), np.int64), np.zeros((K, len(own)), np.int64), np.zeros(len(own), np.int64)
@@ -321,7 +354,7 @@ def score_blocks(joined: DataFrame, model: Backoff, buckets: int, word_buckets:
                     r[at], *sums = answer[b]
                     low[:, hs], seen[hs] = sums[:K], sums[K]
                 for h in np.flatnonzero(pairs.hot).tolist():
-                    if (whole := model.hot.get(int(own[h]))) is not None:
+                    if (whole := spread.get(int(own[h]))) is not None:
                         low[:, h], seen[h] = whole[:K], whole[K]
                 bow, denominator, applies = model.histories(c, low, seen)
                 p = model.pair(r, bow[pairs.h], denominator[pairs.h], applies[pairs.h], model.word(c[pairs.w]))
@@ -334,7 +367,7 @@ def score_blocks(joined: DataFrame, model: Backoff, buckets: int, word_buckets:
                 columns = [pa.array(doc.view(np.int64), mask=~known), pa.array(held), pa.array(sizes.astype(np.int64)), pa.array(np.add.reduceat((c > 0)[flat].astype(np.int64), starts)), pa.array(np.full(n, model.tokens, np.int64)), pa.array(np.add.reduceat(base[flat], starts)), pa.array(score)]
                 yield pa.record_batch(columns, names=[x.split()[0] for x in RESULT.split(", ")])
 
-    return joined.select("docs", "held", "sizes", "ids", "words", "word_totals", "pair_totals").mapInArrow(run, RESULT)
+    return joined.select("docs", "held", "sizes", "ids", "words", "word_totals", "pair_totals", "hot_totals").mapInArrow(run, RESULT)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -353,15 +386,17 @@ def score(docs: DataFrame) -> DataFrame:
     hot_from = max(HOT_LEAST, tokens / (4 * buckets))
     with_words = packed.join(answers(words, "word_totals"), "block")
     pairs = common.stage(answer_pairs(ask_pairs(with_words, buckets, buckets, hot_from)), "pairs")
-    counts_of_counts, hot = np.zeros(K + 1, np.int64), {}
-    for row in pairs.where("kind = 2").select("data").toLocalIterator():
+    counts_of_counts = np.zeros(K + 1, np.int64)
+    for row in pairs.where("kind = 2").select("data").toLocalIterator():  # one a bucket
         counts_of_counts += unpack_wide(row["data"])[0]
-    for row in pairs.where("kind = 1").select("data").toLocalIterator():  # at most 4 * buckets histories in each
-        own, *sums = unpack_wide(row["data"])
-        for h, s in zip(own.tolist(), np.stack(sums, axis=1), strict=True):
-            hot[h] = hot.get(h, 0) + s
-    model = Backoff(tokens, known, once, counts_of_counts, hot)
-    return score_blocks(with_words.join(answers(pairs, "pair_totals"), "block"), model, buckets, buckets, hot_from)
+    hot = common.stage(hot_sums(pairs), "hot")
+    answered, sent = with_words.join(answers(pairs, "pair_totals"), "block"), {}
+    if hot.count() <= HOT_SENT:
+        sent = {r["history"] % (1 << 64): np.array(r[1:]) for r in hot.collect()}
+        answered = answered.withColumn("hot_totals", F.lit(None).cast("array<struct<history:bigint>>"))
+    else:
+        answered = answered.join(hot_of_blocks(with_words, hot, buckets, hot_from), "block", "left").withColumn("hot_totals", F.coalesce("hot_totals", F.array()))
+    return score_blocks(answered, Backoff(tokens, known, once, counts_of_counts, sent), buckets, buckets, hot_from)
 
 
 def op8_katz(spark, sf_dir: str) -> DataFrame:

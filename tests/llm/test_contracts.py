@@ -255,8 +255,10 @@ def test_op7(docs, rows):
     assert secrets_scan.redact("a token=abcdefghijklm b") == "a [SECRET] b" and secrets_scan.redact(None) is None
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_op8(docs, rows, monkeypatch, small):
+@pytest.mark.parametrize(("small", "sent"), [(False, katz.HOT_SENT), (True, katz.HOT_SENT), (True, 0)])
+def test_op8(spark, docs, rows, monkeypatch, small, sent):
+    monkeypatch.setattr(katz, "HOT_SENT", sent)  # else the sums of spread histories are joined
+    tables = {t.name for t in spark.catalog.listTables()}
     if small:  # many blocks, buckets and spread histories
         monkeypatch.setattr(katz, "BLOCK_TOKENS", 500)
         monkeypatch.setattr(katz, "BUCKET_TOKENS", 2000)
@@ -291,7 +293,7 @@ def test_op8(docs, rows, monkeypatch, small):
         assert abs(sum(p(h, w) for w in after[h]) + known[h][0] * (1 - sum(map(uni, after[h]))) - 1) < 1e-9
     want = Counter((i, held(i), len(t), sum(w in u for w in t), n, round(sum(math.log10((u[w] + 1) / (n + v + 1)) for w in t), 6), round(sum(math.log10(p(h, w)) for h, w in zip([None, *t[:-1]], t, strict=True)), 6)) for i, t in each)
     got = Counter((*tuple(r)[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in katz.score(docs).collect())
-    assert got == want
+    assert got == want and {t.name for t in spark.catalog.listTables()} == tables
 
 
 @pytest.mark.parametrize("broadcast_windows", [decontaminate.BROADCAST_WINDOWS, 0])
