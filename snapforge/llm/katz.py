@@ -1,4 +1,4 @@
-"""Language-model scoring with a Katz backoff bigram model over the whole corpus.
+"""Language-model scoring with a Katz backoff bigram model over the whole corpus, in packed blocks; katz_tables has any order.
 
 Tokens are a text's words, then one end; an end also stands before each text as the first token's history.
 
