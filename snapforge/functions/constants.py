@@ -174,6 +174,7 @@ GEO_COUNTRY, GEO_REGION, GEO_SUB_REGION = "Country", "Region", "Sub Region"
 ASSET_COMPANY, ASSET_SHORT, ASSET_CITY, ASSET_ID = "Company/Producer", "Company/Producer Short Name", "City", "Asset Identifier"
 
 #: Presentation: status to style, and the columns of either provenance.
+MATCH_STYLE = "green"
 STATUS_STYLES = {"Valid": "green", "Expired": "orange", "Suspended": "red", "Terminated": "red", "Withdrawn": "red"}
 SOURCE_DERIVED = "City Country Company_Name Certificate_Class Scope_Description Processing_Unit_Type_Description Latitude Longitude Value_Changed".split()
 BUSINESS_DERIVED = "Certificate_Type Facility_Grouping Region Sub_Region Asset_Identifier Match_Found".split()

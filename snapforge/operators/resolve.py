@@ -18,12 +18,14 @@ from ..staging import stage
 CHOICES = 50_000
 #: Names that it compares with them, about.
 NAMES = 50_000
-#: A master table of at most so many keys is broadcast; a larger one is joined as Spark sees fit.
-BROADCAST_ROWS = 500_000
+#: A master table of at most so many keys, and bytes in them, is broadcast; a larger one is joined as Spark sees fit.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """df, to be broadcast if its rows, counted now, are few and short."""
+    rows, size = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def _has(df: DataFrame, *columns: str) -> None:
@@ -100,15 +102,20 @@ def overwrite_company(df: DataFrame, assets: DataFrame, score_threshold: int = 7
     return joined.withColumn("Company_Name", F.coalesce("__short", "Company_Name")).select(*(f"`{c}`" for c in df.columns))
 
 
-def match_assets(df: DataFrame, assets: DataFrame, fuzzy_threshold: int = 80, strict_punct: bool = False) -> DataFrame:
-    """Adds Asset_Identifier, and Match_Found: 1 where assets hold it exactly once normalised, or by a token set ratio that reaches the threshold."""
+def exact_assets(df: DataFrame, assets: DataFrame, strict_punct: bool = False) -> DataFrame:
+    """Adds Asset_Identifier, __norm (its normalised form) and __exact (the same, where assets hold it, else null)."""
     _has(df, "Company_Name", "City")
     _has(assets, K.ASSET_ID)
-    told = df.withColumn("Asset_Identifier", asset_identifier(F.col("Company_Name"), F.col("City")))
     raw = F.col(f"`{K.ASSET_ID}`").cast("string")
+    exact = assets.where(raw.isNotNull()).select(match_key(raw, strict_punct).alias("__exact")).distinct()
+    told = df.withColumn("Asset_Identifier", asset_identifier(F.col("Company_Name"), F.col("City")))
+    return told.withColumn("__norm", match_key(F.col("Asset_Identifier"), strict_punct)).join(_small(exact), F.col("__norm") == F.col("__exact"), "left")
+
+
+def match_assets(df: DataFrame, assets: DataFrame, fuzzy_threshold: int = 80, strict_punct: bool = False) -> DataFrame:
+    """Adds Asset_Identifier, and Match_Found: 1 where assets hold it exactly once normalised, or by a token set ratio that reaches the threshold."""
+    told, raw = exact_assets(df, assets, strict_punct), F.col(f"`{K.ASSET_ID}`").cast("string")
     known = assets.where(raw.isNotNull())
-    exact = known.select(match_key(raw, strict_punct).alias("__exact")).distinct()
-    told = told.withColumn("__norm", match_key(F.col("Asset_Identifier"), strict_punct)).join(_small(exact), F.col("__norm") == F.col("__exact"), "left")
     told = stage(told, "identified")  # read twice: the names without an exact match, and the rows that get the result
     missed = told.where("__exact is null and __norm <> ''").select(F.col("Asset_Identifier").alias("key")).distinct()
     found = _against(stage(missed, "names"), known.select(raw.alias("choice")).distinct(), partial(_near, fuzzy_threshold), "key string")
@@ -134,3 +141,8 @@ def standardise(df: DataFrame, assets: DataFrame) -> DataFrame:
     rows = rows.withColumns({"Company_Name": F.when(F.col("matched"), F.col("matched_shortname")).otherwise(F.col("Company_Name")), "City": F.when(F.col("matched"), F.col("matched_city")).otherwise(F.col("City"))})
     missing = lambda c: F.coalesce(F.col(c), F.lit("nan"))
     return rows.withColumn("asset_location", F.concat(missing("Company_Name"), F.lit(" "), missing("City")))
+
+
+def with_match_style(df: DataFrame) -> DataFrame:
+    """Adds match_style to standardised rows: the colour of a matched row's asset_location, null for others."""
+    return df.withColumn("match_style", F.when(F.col("matched"), F.lit(K.MATCH_STYLE)))

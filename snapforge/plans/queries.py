@@ -201,11 +201,16 @@ register(
 
 
 def _asset_exact(holders: DataFrame, assets: DataFrame) -> DataFrame:
-    known = assets.select(T.match_key(F.col(f"`{K.ASSET_ID}`")).alias("known")).distinct()
-    key = T.match_key(T.asset_identifier(F.col("Company_Name"), F.col("City")))
-    return holders.select("ord", key.alias("k")).join(known, F.col("k") == F.col("known"), "left").select("ord", F.col("known").isNotNull().cast("int").alias("exact"))
+    return resolve.exact_assets(holders, assets).select("ord", F.col("__exact").isNotNull().cast("int").alias("exact"))
 
 
+MATCH_STYLE = STANDARD.rpartition("\nSELECT")[0] + f"\nSELECT ord, CASE WHEN matched THEN '{K.MATCH_STYLE}' END AS match_style FROM m"
+register("match_style", with_fixtures(MATCH_STYLE, "assets", "holders"), lambda s, d: resolve.with_match_style(resolve.standardise(fixture(s, d, "holders"), fixture(s, d, "assets"))).select("ord", "match_style"))
+FIXTURES["prev_seen"] = "SELECT 'C-' || CAST(o_orderkey AS STRING) AS Certificate_ID, o_orderdate AS Seen, o_orderstatus AS V, o_orderkey AS ord FROM orders"
+FIXTURES["cur_seen"] = "SELECT 'C-' || CAST(o_orderkey AS STRING) AS Certificate_ID, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL '1' SECOND ELSE o_orderdate END AS Seen, CASE WHEN o_orderkey % 5 = 0 THEN '!' ELSE o_orderstatus END AS V, o_orderkey AS ord FROM orders WHERE o_orderkey % 2 = 0"
+SEEN_SQL = """SELECT c.Certificate_ID, strftime(c.Seen, '%Y-%m-%d %H:%M:%S') AS Seen, c.V, c.ord, concat_ws(', ', CASE WHEN strftime(c.Seen, '%Y-%m-%d %H:%M:%S') <> strftime(p.Seen, '%Y-%m-%d %H:%M:%S') THEN 'Seen' END, CASE WHEN lower(c.V) <> lower(p.V) THEN 'V' END) AS Value_Changed
+FROM cur_seen c JOIN prev_seen p ON c.Certificate_ID = p.Certificate_ID WHERE strftime(c.Seen, '%Y-%m-%d %H:%M:%S') <> strftime(p.Seen, '%Y-%m-%d %H:%M:%S') OR lower(c.V) <> lower(p.V)"""
+register("changed_timestamps", with_fixtures(SEEN_SQL, "prev_seen", "cur_seen"), _pair(diff.changed, "prev_seen", "cur_seen"))
 COMPANY = _company_sql("{0}")
 register("fuzzy_company", with_fixtures("+" + fuzzy_sql.companies("holders", COMPANY, K.COMPANY_SCORE, "out_rows") + "\nSELECT * FROM out_rows", "assets", "holders"), lambda s, d: resolve.overwrite_company(fixture(s, d, "holders"), fixture(s, d, "assets"), K.COMPANY_SCORE))
 register("asset_fuzzy", with_fixtures("+" + fuzzy_sql.assets("holders", K.ASSET_SCORE, "out_rows") + "\nSELECT * FROM out_rows", "assets", "holders"), lambda s, d: resolve.match_assets(fixture(s, d, "holders"), fixture(s, d, "assets"), K.ASSET_SCORE))
