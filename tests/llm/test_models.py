@@ -95,3 +95,15 @@ def test_suppression_is_interval_containment(seed):
             if not any(a <= s and b >= e and rules[j][1] >= rules[k][1] for a, b, j in kept):
                 kept.append((s, e, k))
         assert licenses.detections(list(found)) == [(s, e, rules[k][0], rules[k][1]) for s, e, k in kept]
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Repeated rows, a long text, nulls, and columns with the operator's own names."""
+    fixed = toxicity.Model([f"{'x' * i} nastyword" for i in range(1, 50)], [f"{'x' * i} quietword" for i in range(1, 50)])
+    fixed.weights = [-6.0, 0.0, 1.0, *[0.0] * (len(toxicity.STRETCHES) - 1)]
+    long = "quiet " * 200_000
+    rows = [(1, "a nastyword", 0.5, "k"), (1, "a nastyword", 0.5, "k"), (2, long, 0.5, "k"), (3, long + "nastyword", 0.5, "k"), (4, None, 0.5, "k"), (None, "", 0.5, "k"), (5, "İİ \U0001f602", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, held_out string")
+    got = Counter((r["doc_id"], r["score"] >= 0.5) for r in toxicity.score(docs, fixed).collect())
+    assert got == Counter([(1, True), (1, True), (2, False), (3, True), (4, False), (None, False), (5, False)])
+    assert toxicity.score(docs.limit(0), fixed).isEmpty()

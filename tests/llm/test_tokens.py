@@ -111,3 +111,33 @@ def test_decoder_gives_text_as_its_bytes_are_complete(path):
         first, *rest = encoder.encode("😂")
         assert rest and decoder.feed(first) == "" and decoder.feed(rest) == "😂" and decoder.close() == ""
         assert decoder.feed(first) == "" and decoder.close() == "\ufffd"
+
+
+def test_one_id_may_hold_most_rows(spark, tmp_path):
+    """Rows of one doc_id, or of none, are spread over shards, and ids stay in ascending order."""
+    from snapforge.llm import common
+
+    texts = [f"text number {i} of many" for i in range(400)]
+    rows = [(7, t) for t in texts] + [(None, t) for t in texts[:300]] + [(i, "x") for i in range(20)] + [(7, "same")] * 200
+    docs = common.stage(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), "hot")
+    manifest = token_binary.write_tokens(docs, str(tmp_path / "hot"), WORD_BPE, sequence_length=64, shards=8)
+    sizes = [r["n_docs"] for r in manifest.orderBy("shard").collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < len(rows) / 3
+    told = token_binary.read_documents(manifest).orderBy("start").collect()
+    ids = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in told]
+    assert ids == sorted(ids) and [r["start"] for r in told] == [sum(x["n_tokens"] for x in told[:i]) for i in range(len(told))]
+    library = token_binary.load_tokenizer(WORD_BPE)
+    assert sorted(r["n_tokens"] for r in told) == sorted(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+
+
+def test_a_long_document_goes_on_over_blocks_in_a_shard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pieces, "TOGETHER", 64)
+    writer = token_binary.ShardWriter(str(tmp_path / "long"), np.dtype("<u2"), 8)
+    texts = ["a b c", "word " * 100, "", "x " * 90, "end"]
+    made, library = token_binary.LibraryEncoder(WORD_BPE), token_binary.load_tokenizer(WORD_BPE)
+    for first, sizes, flat, more in made.encode(pa.array(texts)):
+        writer.add(pa.array(range(5)).slice(first, len(sizes)), sizes, flat, 2, more)
+    writer.close()
+    want = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    got = [(i, start, ids.tolist()) for i, start, ids in token_binary.ShardReader(str(tmp_path / "long")).documents()]
+    assert got == [(i, sum(map(len, want[:i])), w) for i, w in enumerate(want)] and (writer.docs, writer.total) == (5, sum(map(len, want)))
