@@ -48,8 +48,11 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over documents."""
-    docs = common.documents(spark, sf_dir)
+    """All stages over documents; a stage's table goes once the next one's is written."""
+    docs, before = common.documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = common.stage(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            common.unstage(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
