@@ -16,8 +16,8 @@ text may be toxic in one place; a logistic calibration, fitted on labelled texts
 it into a probability.
 
 Learning takes a bounded sample: the FIT + CALIBRATE labelled documents of each class with the least hash of their id, none of
-them held out, and of each text the first WORDS words (scoring takes all of every text). Ids that are labelled both
-ways are left out. Scoring takes every document, as a map without a shuffle.
+them held out, without those of over LONGEST characters; texts in the sample are taken whole. Ids that are labelled both
+ways are left out. Scoring takes all of every document, as a map without a shuffle.
 
 Nulls: a null or empty text has no words and gets the calibration's value for no evidence. Labels with a null id or null
 label are left out. Repeated rows are all returned. Without labels of both classes every score is 0. An empty
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled documents of a class whose words are counted, further ones for the calibration, and words of each: the sample's bound.
-FIT, CALIBRATE, WORDS = 1500, 700, 20_000
+#: Labelled documents of a class whose words are counted, further ones for the calibration, and characters of any one: the sample's bound.
+FIT, CALIBRATE, LONGEST = 1500, 700, 50_000
 #: Letters in the longest gram of the letter model.
 ORDER = 5
 #: The absolute discount of words and pairs: what is seen no more often keeps no count of its own.
@@ -144,7 +144,7 @@ class Model:
         for texts in (toxic, ordinary):
             # continuation counts at both levels: in how many different left contexts a pair stands, so that copies of a text count once
             triples: set[tuple[str, str, str]] = set()
-            for ws in without_copies(words_of(t)[:WORDS] for t in texts):
+            for ws in without_copies(map(words_of, texts)):
                 taken: Counter = Counter()
                 for triple in zip(["", "", *ws], ["", *ws], ws):
                     taken[triple[2]] += 1
@@ -255,7 +255,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     told = told.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = told.where("toxic = 1").orderBy(*order).limit(FIT + CALIBRATE).unionByName(told.where("toxic = 0").orderBy(*order).limit(FIT + CALIBRATE))
-    texts = common.id_text(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    short = common.id_text(docs).where(F.coalesce(F.char_length("text"), F.lit(0)) <= LONGEST)
+    texts = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = texts.orderBy(*order).collect()  # at most 2 * (FIT + CALIBRATE) texts
     fit, rest = {}, []
     for y in (1, 0):
