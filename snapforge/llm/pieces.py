@@ -23,8 +23,8 @@ import pyarrow.compute as pc
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Bytes of text in one block; a longer text goes in several.
 TOGETHER = 8 << 20
-#: Cores that a worker remembers.
-CORES = 700_000
+#: Cores that a worker remembers, and their bytes.
+CORES, CORE_BYTES = 700_000, 64 << 20
 #: ASCII punctuation that closes a piece.
 CLOSING = ".,;:!?*%$&#|"
 WHITE = re.compile(rb"[\x09-\x0d\x20]")
@@ -83,6 +83,7 @@ class Pieces:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.held = 0
         self.offsets, self.flat = np.zeros(1 << 16, np.int32), np.empty(1 << 16, self.width)
 
     def _learn(self, cores: list[bytes]) -> None:
@@ -95,6 +96,7 @@ class Pieces:
         self.offsets[n + 1 : n + 1 + len(cores)] = held + np.cumsum(sizes)
         self.flat[held : held + len(ids)] = ids
         self.known.update(zip(cores, range(n, n + len(cores)), strict=True))
+        self.held += sum(map(len, cores))
 
     def _places(self, cores: list[bytes]) -> np.ndarray:
         """Where the ids of distinct cores stand; when there is no room, what isn't among them goes."""
@@ -102,7 +104,7 @@ class Pieces:
         at = found()
         if not (new := np.flatnonzero(at < 0)).size:
             return at
-        if len(self.known) + len(new) > self.most:
+        if len(self.known) + len(new) > self.most or self.held > CORE_BYTES:
             self._forget()
             self._learn(cores)
         else:
