@@ -18,6 +18,10 @@ from ..staging import stage
 CHOICES = 50_000
 #: Names that it compares with them, about.
 NAMES = 50_000
+#: Tasks of a fuzzy comparison at most; they may have several groups each.
+TASKS = 10_000
+#: Names that are worth the preparation of a block of token sets.
+NAMES_FOR_SETS = 8000
 #: A master table of at most so many keys, and bytes in them, is broadcast; a larger one is joined as Spark sees fit.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
@@ -51,18 +55,22 @@ def company_choices(assets: DataFrame) -> DataFrame:
     return one.unionByName(two).where("choice <> ''").groupBy("choice").agg(F.max_by("short", "seq").alias("short"), F.min(F.struct("tier", "ord")).alias("pos"))
 
 
-def _against(names: DataFrame, choices: DataFrame, compare, schema: str) -> DataFrame:
+def _against(names: DataFrame, choices: DataFrame, compare, schema: str, fewest: int = 1) -> DataFrame:
     """What compare(names, choices), on tables, says of every part of the names (column key, staged) and every block of the choices (column choice).
 
     Each name goes to each block once, and each choice to each part once: both are dealt out by hashes, and neither passes the driver.
+    A part has fewest names or more, about, as every part prepares its blocks anew.
     """
     spark = names.sparkSession
     blocks = max(1, -(-choices.count() // CHOICES))
-    parts = max(1, -(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // blocks), -(-names.count() // NAMES))
+    n = names.count()
+    parts = max(1, min(-(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // blocks), -(-n // fewest)), -(-n // NAMES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = names.select("key", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"), every(blocks).alias("block"))
     right = choices.select("*", F.pmod(F.xxhash64("choice"), F.lit(blocks)).cast("int").alias("block"), every(parts).alias("part"))
-    return left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInArrow(compare, schema)
+    # as many tasks as groups: by their bytes, which are few, Spark would put many together
+    left, right = (x.repartition(min(parts * blocks, TASKS), "part", "block").groupBy("part", "block") for x in (left, right))
+    return left.cogroup(right).applyInArrow(compare, schema)
 
 
 def _best(least: int, names: pa.Table, choices: pa.Table) -> pa.Table:
@@ -118,7 +126,7 @@ def match_assets(df: DataFrame, assets: DataFrame, fuzzy_threshold: int = 80, st
     known = assets.where(raw.isNotNull())
     told = stage(told, "identified")  # read twice: the names without an exact match, and the rows that get the result
     missed = told.where("__exact is null and __norm <> ''").select(F.col("Asset_Identifier").alias("key")).distinct()
-    found = _against(stage(missed, "names"), known.select(raw.alias("choice")).distinct(), partial(_near, fuzzy_threshold), "key string")
+    found = _against(stage(missed, "names"), known.select(raw.alias("choice")).distinct(), partial(_near, fuzzy_threshold), "key string", NAMES_FOR_SETS)
     told = told.join(found.distinct().withColumnRenamed("key", "__id"), F.col("Asset_Identifier") == F.col("__id"), "left")
     flag = F.col("__exact").isNotNull() | F.col("__id").isNotNull()
     return told.withColumn("Match_Found", flag.cast("int")).select(*(f"`{c}`" for c in df.columns if c not in ("Asset_Identifier", "Match_Found")), "Asset_Identifier", "Match_Found")

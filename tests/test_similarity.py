@@ -2,11 +2,13 @@
 
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from snapforge.functions import constants as K
+from snapforge.functions import similarity
 from snapforge.functions.similarity import Choices, TokenSets
 from snapforge.functions.text import asset_identifier, company_key, match_key
 from snapforge.functions.udfs import best_ratio, process, token_set_ratio
@@ -31,6 +33,34 @@ def test_many_at_once_equal_pairs():
                 assert sets.near(q, least) == any(token_set_ratio(q, c) >= least for c in texts)
 
 
+def test_token_sets_equal_pairs_in_classes(monkeypatch):
+    """Few members make a class large, a token frequent and a plan go, so that every way through is taken."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdé01") for _ in range(rng.randint(1, 5)))
+    for trial in range(150):
+        for name, values in {"FREQUENT": (0, 1, 2, 5), "LARGE": (1, 2, 4), "FIRST": (1, 2, 8), "KEPT_CODES": (10, 1 << 20), "KEPT_PLANS": (1, 1000)}.items():
+            monkeypatch.setattr(similarity, name, rng.choice(values))
+        pool = [word() for _ in range(rng.choice([4, 12]))]
+        make = lambda: process(" ".join(rng.choice(pool) if rng.random() < 0.6 else word() for _ in range(rng.randint(0, 5))))  # noqa: B023, E731
+        texts = [make() for _ in range(rng.randint(0, 60))] + ["x" * 80] * (trial % 7 == 0)
+        sets = TokenSets(texts)
+        for _ in range(10):
+            q = make() * (20 if rng.random() < 0.05 else 1)
+            for least in (30, 51, 65, 80, 100):
+                assert sets.near(q, least) == any(token_set_ratio(q, c) >= least for c in texts), (q, texts, least)
+
+
+def test_token_sets_do_not_go_over_all_choices_for_each_name():
+    choices = [f"customer {8 * k:09d} town {k * 7 % 25}" for k in range(30_000)]
+    sets = TokenSets(choices)
+    names = [f"customer {k * 397 % 900_000:09d} town {k % 25}" for k in range(2000)] + [f"s {k % 90} town {k % 25}" for k in range(2000)]
+    began = time.process_time()
+    found = [sets.near(n, 80) for n in names]
+    assert time.process_time() - began < 5
+    for k in (0, 700, 1999, 2000, 2019, 2600):
+        assert found[k] == any(token_set_ratio(names[k], c) >= 80 for c in choices)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 @pytest.mark.parametrize("block", [resolve.CHOICES, 7])
 def test_fuzzy_queries_equal_all_pairs(spark, monkeypatch, block):
