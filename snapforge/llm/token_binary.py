@@ -42,6 +42,8 @@ BATCH_SEQUENCES = 256
 JOINED = 10_000
 #: Texts that go to the library in one call where pieces play no part.
 WHOLE = 64
+#: Ids that one task reads back; small shards are read by few tasks, so that they leave few files.
+READ_IDS = 4_000_000
 MANIFEST = "shard int, path string, n_tokens long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -218,7 +220,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
     One range shuffle carries the texts: by doc_id, then a hash of the text, then the row's place in the input, so no repeated or
     missing doc_id has to go to one task; shards are TASK_BYTES of input each, or shuffle.partitions if that is more. A shard
     is written by one task, under a name of its own for each attempt, so a task that ran twice leaves an unused file and
-    never a broken one. The manifest has a row a shard; it is all that the driver sees.
+    never a broken one. The manifest has a row a shard; it is all that the driver sees, and it goes there without files of its own.
     """
     spark, out_dir = docs.sparkSession, qualified(docs.sparkSession, out_dir)
     rows = common.id_text(docs).select(common.ID, F.xxhash64(common.TEXT).alias("digest"), F.monotonically_increasing_id().alias("place"), common.TEXT)
@@ -240,7 +242,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
             writer.close()
             yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([path]), pa.array([writer.total]), pa.array([writer.docs])], names=["shard", "path", "n_tokens", "n_docs"])
 
-    return common.stage(ordered.mapInArrow(write, MANIFEST), "manifest")
+    return spark.createDataFrame(ordered.mapInArrow(write, MANIFEST).collect(), MANIFEST)
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
@@ -269,7 +271,8 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                 if made:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.int64(),) * 4 + (pa.int32(),), strict=True)], names=names)
 
-    return listed.repartition(max(1, min(len(told), 4096)), F.col("shard")).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")
+    tasks = max(1, min(len(told), max(spark.sparkContext.defaultParallelism, -(-before // READ_IDS))))
+    return listed.repartition(tasks).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")
 
 
 def op1_token_binary(spark, sf_dir: str) -> DataFrame:

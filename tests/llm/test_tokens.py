@@ -130,6 +130,21 @@ def test_one_id_may_hold_most_rows(spark, tmp_path):
     assert sorted(r["n_tokens"] for r in told) == sorted(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
 
 
+def test_small_shards_leave_few_files(spark, tmp_path):
+    """The manifest takes no files, and small shards are read by as many tasks as run at once, not by one each."""
+    import glob
+
+    from snapforge import staging
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string")
+    before = set(glob.glob(f"{staging.root(spark).removeprefix('file:')}/*/manifest"))
+    manifest = token_binary.write_tokens(docs, str(tmp_path / "few"), WORD_BPE, sequence_length=64, shards=40)
+    told = token_binary.read_documents(manifest)
+    assert manifest.count() > spark.sparkContext.defaultParallelism >= told.rdd.getNumPartitions()
+    assert sorted(r["doc_id"] for r in told.collect()) == list(range(400))
+    assert set(glob.glob(f"{staging.root(spark).removeprefix('file:')}/*/manifest")) == before
+
+
 def test_a_long_document_goes_on_over_blocks_in_a_shard(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pieces, "TOGETHER", 64)
     writer = token_binary.ShardWriter(str(tmp_path / "long"), np.dtype("<u2"), 8)
