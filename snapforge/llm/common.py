@@ -14,10 +14,20 @@ ID, TEXT = "doc_id", "text"
 TASK_BYTES = 64 << 20
 
 
-def tasks_for(df: DataFrame, each: int = TASK_BYTES) -> int:
-    """How many tasks df's input is worth, by the optimiser's estimate of its size; 1 where it has none."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of df's input by the optimiser's estimate of its size; None where it has none."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, min(-(-size // each), 200_000)) if size < 1 << 60 else 1
+    return size if size < 1 << 60 else None
+
+
+def tasks_for(df: DataFrame, each: int = TASK_BYTES) -> int:
+    """How many tasks df's input is worth; 1 where its size isn't known."""
+    return max(1, min(-(-(input_bytes(df) or 0) // each), 200_000))
+
+
+def in_few_tasks(df: DataFrame, source: DataFrame) -> DataFrame:
+    """df in as many tasks as run at once, or as source's input is worth if that is more, so that few rows leave few files; as it is where that size isn't known."""
+    return df if input_bytes(source) is None else df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, tasks_for(source)))
 
 
 def open_fs(path: str):

@@ -15,6 +15,9 @@ Beyond that, documents are first reduced to those that share a fingerprint, by a
 fingerprints, and both joins shuffle; a fingerprint held by a large share of documents is then a skewed key with few
 benchmark rows on the other side, which Spark splits.
 
+Files. The staged windows and the result are dealt out by the size of the items and of the documents, not by
+shuffle.partitions, so that small tables leave few files.
+
 Nulls: a null text has no words; an item without words or with a null id has no window. Repeated rows and ids are all
 returned, each judged by its own text; repeated items count once. An empty benchmark leaves all documents clean; empty
 documents give no rows. Other columns are ignored.
@@ -31,6 +34,8 @@ from .arrays import NOT_WORD, ahead, joined, lower_ascii, split_words
 WINDOW, GRAM = 10, 5
 #: Windows, and bytes of them and of the ids of the items that hold them, up to which the benchmark's side is broadcast.
 BROADCAST_WINDOWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: Bytes of staged items, about 130,000 words, whose windows one task groups and writes.
+GROUPED_BYTES = 1 << 20
 
 
 def _words(text: Column) -> Column:
@@ -97,7 +102,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame, every: bool, broadcast_windo
     items = common.stage(_hashed(items), "items")
     short_sizes = sorted(map(tuple, items.where(F.col("n") < WINDOW).groupBy("n").agg(F.count("*"), F.sum(F.octet_length("item") + 64)).collect()))  # at most 9
     long = _spread(_windows(items.where(F.col("n") >= WINDOW)), "item").groupBy("fp", "whole").agg(F.collect_set("item").alias("items"))
-    long = common.stage(long, "windows")
+    long = common.stage(long.coalesce(common.tasks_for(items, GROUPED_BYTES)), "windows")
     entries, size = long.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 64), F.lit(0))).first()
     small = entries <= broadcast_windows and size <= BROADCAST_BYTES
 
@@ -150,7 +155,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     each = each.select("doc_id", F.col("n").cast("long").alias("n_words"), _covered(F.col("starts")).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("starts") > 0).alias("contaminated"), "rows")
-    return each.select(*each.columns[:-1], F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy")).drop("copy")
+    each = each.select(*each.columns[:-1], F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy")).drop("copy")
+    return common.in_few_tasks(each, docs)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

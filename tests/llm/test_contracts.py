@@ -1,5 +1,6 @@
 """Each contract query against a brute-force version, on a small fixture of ordinary and odd rows."""
 
+import glob
 import hashlib
 import itertools
 import math
@@ -12,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from snapforge import staging
 from snapforge.llm import bpe, common, decontaminate, katz, license_rules, licenses, pii, quality, secrets_scan, simhash, token_binary, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -371,6 +373,28 @@ def test_op9_counts_short_items_before_broadcasting_them(spark, docs):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_op9_leaves_few_files(spark, docs, tmp_path):
+    """Windows and result are dealt out by their input's size, however many partitions a shuffle has; nothing is lost by it."""
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    docs.repartition(3).write.parquet(path := str(tmp_path / "documents"))
+    want = decontaminate.contamination(docs, bench)
+    want = by_row(want, *want.columns)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    staged = lambda: set(glob.glob(f"{staging.root(spark).removeprefix('file:')}/*/windows/part-*"))
+    there = staged()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = decontaminate.contamination(spark.read.parquet(path), bench)
+        assert len(staged() - there) == 1
+        assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert by_row(got, *got.columns) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def expansions(parsed):
     """Every alternative of a parsed expression; a repeat stands as often as it must and once more, a class or a dot as NUL."""
     from re import _constants as kind
